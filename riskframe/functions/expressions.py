@@ -69,6 +69,8 @@ def ratio(num: Column, den: Column, default=None) -> Column:
     return out if default is None else F.coalesce(out, F.lit(default))
 
 
-def r6(c: Column) -> Column:
-    """Round to 6 decimals for cross-engine comparison; +0.0 folds -0.0."""
-    return F.round(c.cast("double"), 6) + F.lit(0.0)
+def r6(c: Column, digits: int = 6) -> Column:
+    """Round to ``digits`` decimals for cross-engine comparison; +0.0 folds
+    -0.0. Means of short decimals (prices, rates) are short decimals too and
+    can sit exactly on a 6-digit tie; compare those at 9."""
+    return F.round(c.cast("double"), digits) + F.lit(0.0)

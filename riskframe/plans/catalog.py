@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_prep, q_score
+from . import q_features, q_prep, q_score
 
-_MODULES = (q_prep, q_score)
+_MODULES = (q_prep, q_score, q_features)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

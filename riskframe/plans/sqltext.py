@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 
-def r6(expr: str) -> str:
-    """Round to 6 decimals as a DOUBLE; ``+ 0.0`` folds -0.0 to 0.0."""
-    return f"(round(CAST({expr} AS DOUBLE), 6) + 0.0)"
+def r6(expr: str, digits: int = 6) -> str:
+    """Round to ``digits`` decimals as a DOUBLE; ``+ 0.0`` folds -0.0 to 0.0."""
+    return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
 def case_map(column: str, mapping: Mapping[str, int]) -> str:
