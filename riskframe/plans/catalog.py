@@ -7,9 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_features, q_prep, q_score
+from . import q_features, q_prep, q_score, q_train
 
-_MODULES = (q_prep, q_score, q_features)
+_MODULES = (q_prep, q_score, q_features, q_train)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
