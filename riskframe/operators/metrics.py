@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import DECISION_THRESHOLD
 from ..functions.expressions import col, r6, ratio, sql_string
+from ..sources.tables import spread
 from .ordered import DEFAULT_BUCKETS, ordered_prefix
 
 
@@ -25,8 +26,9 @@ def long_scores(df: DataFrame, scores: Mapping[str, Column], label: Column) -> D
     so one job evaluates all models. Rows with a null label or score are
     left out (the reference's metrics reject them)."""
     names = list(scores)
-    wide = df.select(label.cast("int").alias("label"),
-                     *[s.cast("double").alias(f"_s{i}") for i, s in enumerate(scores.values())])
+    wide = spread(df.select(label.cast("int").alias("label"),
+                            *[s.cast("double").alias(f"_s{i}")
+                              for i, s in enumerate(scores.values())]))
     args = ", ".join(f"{sql_string(n)}, _s{i}" for i, n in enumerate(names))
     return (wide.selectExpr("label", f"stack({len(names)}, {args}) AS (model, score)")
             .where(F.col("label").isin(0, 1) & F.col("score").isNotNull()
@@ -88,17 +90,20 @@ def roc_curve(long: DataFrame, drop_intermediate: bool = True,
     (the second difference is 0), as the reference's library does."""
     pre = ordered_prefix(score_counts(long), "model", "score", ["pos", "neg"], buckets,
                          with_previous=True)
-    totals = pre.groupBy("model").agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"),
-                                      F.count(F.lit(1)).alias("K"),
-                                      F.max("score").alias("top"), F.min("score").alias("bottom"))
-    pts = pre.join(totals, "model")
+    # per-model totals straight from the long table (k rows, broadcast), so
+    # the running-sum plan is not evaluated twice
+    totals = long.groupBy("model").agg(
+        F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") == 0).alias("N"),
+        F.max("score").alias("top"), F.min("score").alias("bottom"))
+    pts = pre.join(F.broadcast(totals), "model")
     tps = F.col("P") - F.col("pos_below")
     fps = F.col("N") - F.col("neg_below")
     keep = F.lit(True)
     if drop_intermediate:
         ends = (F.col("score") == F.col("top")) | (F.col("score") == F.col("bottom"))
         same_step = (F.col("prev_pos") == F.col("pos")) & (F.col("prev_neg") == F.col("neg"))
-        keep = (F.col("K") <= 2) | ends | ~same_step
+        # with two points or fewer every point is an end, so all are kept
+        keep = ends | ~same_step
     curve = pts.where(keep).select(
         "model", F.col("score").alias("threshold"),
         ratio(fps, F.col("N")).alias("fpr"), ratio(tps, F.col("P")).alias("tpr"))

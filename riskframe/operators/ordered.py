@@ -31,6 +31,8 @@ MAX_GROUPS = 1024
 DEFAULT_BUCKETS = 256
 MAX_BUCKETS = 65_536
 ROWS_PER_RANGE = 2_000_000
+# groups up to this size are sorted whole, in one task each
+SINGLE_TASK_ROWS = ROWS_PER_RANGE
 # below this many (group, range) rows the offsets table is broadcast
 BROADCAST_ROWS = 200_000
 
@@ -40,35 +42,50 @@ def _squash(x):
     return x / (F.lit(1.0) + F.abs(x))
 
 
+def _plain_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
+                  with_previous: bool) -> DataFrame:
+    w = Window.partitionBy(group_col).orderBy(col(order_col))
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    out = {}
+    for v in value_cols:
+        out[f"{v}_below"] = F.coalesce(F.sum(col(v)).over(before), F.lit(0))
+        if with_previous:
+            out[f"prev_{v}"] = F.lag(col(v)).over(w)
+    return df.withColumns(out)
+
+
 def ordered_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
-                   buckets: int = DEFAULT_BUCKETS, with_previous: bool = False) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, with_previous: bool = False,
+                   single_task_rows: int | None = None) -> DataFrame:
     """Add ``<v>_below`` = sum of ``v`` over rows of the same group with a
     smaller ``order_col`` (exclusive prefix), for each ``v`` in
     ``value_cols``. With ``with_previous``, also ``prev_<v>`` = ``v`` of the
     row just below in the same group (null for the lowest).
 
     ``order_col`` must be a finite, non-null double; (group, order) unique.
+    Groups of at most ``single_task_rows`` rows (default ``SINGLE_TASK_ROWS``)
+    use one window per group; larger ones are split into ranges.
     """
+    if single_task_rows is None:
+        single_task_rows = SINGLE_TASK_ROWS
     squashed = _squash(col(order_col).cast("double"))
-
-    def edges_job(b: int):
-        """One small job: per group, its row count and b-quantile edges."""
-        probs = [i / b for i in range(1, b)]
-        return (df.groupBy(group_col)
-                .agg(F.percentile_approx(squashed, probs, max(10_000, 8 * b)).alias("e"),
-                     F.count(F.lit(1)).alias("n"))
-                .limit(MAX_GROUPS + 1).collect())
-
-    b = buckets or DEFAULT_BUCKETS
-    rows = edges_job(b)
-    if len(rows) > MAX_GROUPS:
+    sizes = (df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
+             .limit(MAX_GROUPS + 1).collect())
+    if len(sizes) > MAX_GROUPS:
         raise ValueError(f"ordered_prefix takes at most {MAX_GROUPS} groups")
-    largest = max((r["n"] for r in rows), default=0)
-    if largest > b * ROWS_PER_RANGE:
-        # finer ranges so each task still sorts about ROWS_PER_RANGE rows
-        # (edges reach the driver: keep groups x ranges under 4M doubles)
-        b = max(b, min(MAX_BUCKETS, 4_000_000 // len(rows), -(-largest // ROWS_PER_RANGE)))
-        rows = edges_job(b)
+    largest = max((r["n"] for r in sizes), default=0)
+    if largest <= single_task_rows:
+        # every group is small enough to sort in one task: plain windows
+        return _plain_prefix(df, group_col, order_col, value_cols, with_previous)
+
+    # finer ranges as groups grow, so each task sorts about ROWS_PER_RANGE
+    # rows (edges reach the driver: keep groups x ranges under 4M doubles)
+    b = max(buckets or DEFAULT_BUCKETS,
+            min(MAX_BUCKETS, 4_000_000 // len(sizes), -(-largest // ROWS_PER_RANGE)))
+    probs = [i / b for i in range(1, b)]
+    rows = (df.groupBy(group_col)
+            .agg(F.percentile_approx(squashed, probs, max(10_000, 8 * b)).alias("e"))
+            .collect())
     buckets = b
     rows.sort(key=lambda r: (r[0] is None, str(r[0])))
     pairs, edges = [], set()

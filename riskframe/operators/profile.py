@@ -18,6 +18,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, sql_string
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import spread
 from .ordered import ordered_prefix
 
 MAX_CATEGORY_VALUES = 10_000
@@ -38,40 +40,46 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
     """per column n, nulls, n_distinct, min, max, mean, sample stddev and
     exact (interpolated) quantiles ``q25, q50, q75``.
 
-    Moments: one wide aggregate. Distinct counts and quantiles: the
-    ``(feature, value, n)`` count table, with positions found by the
-    range-split running count (no group ever collected into one task)."""
+    Moments: one wide aggregate (k rows reach the driver). Distinct counts
+    and quantiles: the ``(feature, value, cnt)`` count table, with positions
+    found by the range-split running count (no group is ever collected into
+    one task); the per-column totals from the moments place the positions."""
     aggs = []
     for i, c in enumerate(columns):
         x = col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                  F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
-    parts = ", ".join(f"{sql_string(c)}, n{i}, z{i}, lo{i}, hi{i}, m{i}, s{i}"
-                      for i, c in enumerate(columns))
-    moments = df.agg(*aggs).selectExpr(
-        f"stack({len(columns)}, {parts}) AS (feature, n, nulls, min, max, mean, stddev)")
+    m = df.agg(*aggs).first()
+    spark = df.sparkSession
+    moments = spark.createDataFrame(
+        [(c, m[f"n{i}"], m[f"z{i}"], m[f"lo{i}"], m[f"hi{i}"], m[f"m{i}"], m[f"s{i}"])
+         for i, c in enumerate(columns)],
+        "feature string, n long, nulls long, min double, max double, mean double, "
+        "stddev double")
+    pairs = []
+    for i, c in enumerate(columns):
+        pairs += [F.lit(c), F.lit(int(m[f"n{i}"]))]
+    total = F.create_map(*pairs)[F.col("feature")]
 
-    counts = (_stack(df, columns, "DOUBLE").where(F.col("value").isNotNull())
+    src = spread(df.select(*[col(c) for c in columns]))
+    counts = (_stack(src, columns, "DOUBLE").where(F.col("value").isNotNull())
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
     pre = ordered_prefix(counts, "feature", "value", ["cnt"])
-    tot = counts.groupBy("feature").agg(F.sum("cnt").alias("total"),
-                                        F.count(F.lit(1)).alias("n_distinct"))
-    pos = pre.join(F.broadcast(tot), "feature")
-    qaggs = []
+    qaggs = [F.count(F.lit(1)).alias("n_distinct")]
     for j, q in enumerate(quantiles):
-        h = (F.col("total") - 1) * F.lit(float(q))
+        h = (total - 1) * F.lit(float(q))
         lo_pos, hi_pos = F.floor(h), F.ceil(h)
         covers = lambda p: (F.col("cnt_below") <= p) & (p < F.col("cnt_below") + F.col("cnt"))
         qaggs += [F.max(F.when(covers(lo_pos), F.col("value"))).alias(f"_lo{j}"),
                   F.max(F.when(covers(hi_pos), F.col("value"))).alias(f"_hi{j}"),
                   F.max(h - lo_pos).alias(f"_fr{j}")]
-    qs = pos.groupBy("feature").agg(*qaggs)
+    qs = pre.groupBy("feature").agg(*qaggs)
     qcols = [(F.col(f"_lo{j}") + (F.col(f"_hi{j}") - F.col(f"_lo{j}")) * F.col(f"_fr{j}"))
              .alias(f"q{int(round(q * 100))}") for j, q in enumerate(quantiles)]
-    qs = qs.select("feature", *qcols)
-    return (moments.join(F.broadcast(tot.select("feature", "n_distinct")), "feature", "left")
-            .join(F.broadcast(qs), "feature", "left"))
+    qs = qs.select("feature", "n_distinct", *qcols)
+    out = moments.join(F.broadcast(qs), "feature", "left")
+    return out.withColumn("n_distinct", F.coalesce(F.col("n_distinct"), F.lit(0)))
 
 
 def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
@@ -137,15 +145,25 @@ def label_correlation(df: DataFrame, label: Column, columns: Sequence[str]) -> D
 
 # --- F5, F6 ------------------------------------------------------------------------
 
-def contingency_counts(df: DataFrame, label: Column, columns: Sequence[str]) -> DataFrame:
+def contingency_counts(df: DataFrame, label: Column, columns: Sequence[str],
+                       materialize: bool = True) -> DataFrame:
     """``(feature, value, label, n)``: one un-pivot and one count. Rows with
     a null label or value are left out. Numeric features should be binned
-    first (see ``features.bin_expr``)."""
-    base = df.select(label.cast("string").alias("_label"), *[col(c) for c in columns])
-    return (_stack(base, columns, "STRING", extra=["_label"])
-            .where(F.col("value").isNotNull() & F.col("_label").isNotNull())
-            .groupBy("feature", "value", F.col("_label").alias("label"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    first (see ``features.bin_expr``).
+
+    The table is bounded (features x values x labels) and read several times
+    (margins, chi-square, MI), so by default it is cut from its lineage with
+    a reliable ``checkpoint()`` into the shared checkpoint folder: one scan
+    of the data, and a lost executor does not send the job back to it."""
+    base = spread(df.select(label.cast("string").alias("_label"), *[col(c) for c in columns]))
+    counts = (_stack(base, columns, "STRING", extra=["_label"])
+              .where(F.col("value").isNotNull() & F.col("_label").isNotNull())
+              .groupBy("feature", "value", F.col("_label").alias("label"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    if materialize:
+        ensure_checkpoint_dir(df.sparkSession)
+        counts = counts.checkpoint(eager=True)
+    return counts
 
 
 def _margins(counts: DataFrame) -> DataFrame:

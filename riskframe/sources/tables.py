@@ -60,6 +60,20 @@ def read_csv(spark: SparkSession, path: str, schema: StructType,
     return nan_to_null(df)
 
 
+def spread(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:
+    """Hash-repartition an under-partitioned input before fan-out work (an
+    un-pivot that multiplies rows). Only when the input has fewer partitions
+    than the session's parallelism, e.g. one large file with one row group;
+    a cluster-sized input is returned as is. Hashing on the row's own values
+    keeps the placement deterministic when a task is retried."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    cols = list(columns) if columns is not None else list(df.columns)
+    return df.repartition(target, *[col(c) for c in cols])
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Refuse an empty table. ``isEmpty`` runs a one-row job."""
     if df.isEmpty():

@@ -92,8 +92,12 @@ def _brute_roc(pairs):
     return pts
 
 
-@pytest.mark.parametrize("buckets", [2, 3, 7, 256])
-def test_auc_and_roc_match_brute_force_across_ranges(spark, buckets):
+@pytest.mark.parametrize("buckets,force_ranges", [(2, True), (3, True), (7, True), (256, True),
+                                                  (256, False)])
+def test_auc_and_roc_match_brute_force_across_ranges(spark, monkeypatch, buckets, force_ranges):
+    from riskframe.operators import ordered
+    if force_ranges:
+        monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
     rnd = random.Random(buckets)
     pairs = [(round(rnd.random(), 2), rnd.randint(0, 1)) for _ in range(300)]
     long = _long(spark, pairs, "a").unionByName(
