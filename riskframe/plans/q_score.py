@@ -26,12 +26,15 @@ EVENT_INTERCEPT = -2.0
 MODEL_ORDER = ("ratio", "logit", "complement")
 
 
-def _labelled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = read_table(spark, sf_dir, "events")
+def _label_events(ev: DataFrame) -> DataFrame:
     return ev.select("event_id", "value",
                      F.col("event_type").isin(*POSITIVE_EVENTS).cast("int").alias("label"))
 
 
+def _labelled_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _label_events(read_table(spark, sf_dir, "events"))
+
+
 def event_scorer() -> LinearLogitScorer:
     return LinearLogitScorer(featureCols=["value"], coefficients=[EVENT_SLOPE],
                              intercept=EVENT_INTERCEPT)
@@ -48,6 +51,21 @@ def k1_score_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored_events(spark, sf_dir)
 
 
+def k1_score_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 over Structured Streaming: the events file as a file-stream source,
+    scored by the same plan, appended exactly once to a parquet sink in the
+    shared folder; the sink read back must equal the batch result."""
+    from ..session import shared_path
+    from ..streaming.scoring import scored_stream, start_scoring
+    schema = read_table(spark, sf_dir, "events").schema
+    stream = scored_stream(spark, event_scorer(), sf_dir, schema, glob="events.parquet",
+                           label_col="label", feature_cols=["value"], keep_cols=["event_id"],
+                           prepare=_label_events)
+    sink = shared_path(spark, "scored-events-stream")
+    start_scoring(spark, stream, sink).awaitTermination()
+    return spark.read.parquet(sink)
+
+
 def g1_g2_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction_summary(scored_events(spark, sf_dir)).select(
         "n", "n_positive", "n_negative", r6(F.col("positive_rate_pct")).alias("positive_rate_pct"),
@@ -105,6 +123,7 @@ def e9_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "k1_score_events": k1_score_events,
+    "k1_score_events_stream": k1_score_events_stream,
     "g1_g2_summary": g1_g2_summary,
     "g3_g4_tier_histogram": g3_g4_tier_histogram,
     "g5_preview": g5_preview,
@@ -164,6 +183,7 @@ _long_cte = (
 
 SQL = {
     "k1_score_events": f"WITH {_scored_cte} SELECT * FROM scored",
+    "k1_score_events_stream": f"WITH {_scored_cte} SELECT * FROM scored",
     "g1_g2_summary": (
         f"WITH {_scored_cte} SELECT count(*) AS n, count(*) FILTER (WHERE pred_label = 1) "
         "AS n_positive, count(*) FILTER (WHERE pred_label = 0) AS n_negative, "
