@@ -99,19 +99,23 @@ def class_weights(df: DataFrame, label_col: str) -> DataFrame:
                       .alias("weight"))
 
 
-def with_weights(df: DataFrame, label_col: str, weight_col: str = "weight"
-                 ) -> tuple[DataFrame, float]:
+def with_weights(df: DataFrame, label_col: str, weight_col: str = "weight",
+                 with_rows: bool = False):
     """Attach the weight column; also returns the weight total (for the
-    regularisation scale of T5). The k-row weight table is collected."""
+    regularisation scale of T5), and with ``with_rows`` the row count. The
+    k-row weight table is collected."""
     rows = class_weights(df, label_col).collect()
     if len(rows) > MAX_STRATA:
         raise ValueError("too many classes for balanced weights")
     pairs = []
     total = 0.0
+    n_rows = 0
     for r in rows:
+        n_rows += r["n"]
         if r["label"] is None:
             continue
         pairs += [F.lit(r["label"]), F.lit(float(r["weight"]))]
         total += r["weight"] * r["n"]
     wmap = F.create_map(*pairs)
-    return df.withColumn(weight_col, wmap[col(label_col)]), total
+    out = df.withColumn(weight_col, wmap[col(label_col)])
+    return (out, total, n_rows) if with_rows else (out, total)

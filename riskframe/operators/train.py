@@ -24,6 +24,9 @@ from ..sources.tables import path_exists
 from .scale import PopulationStandardScaler
 from .split import with_weights
 
+# bytes of assembled training data per partition: every estimator pass runs
+# one task per partition, so tiny sets get one partition and large ones many
+TRAIN_PARTITION_BYTES = 32 << 20
 LABEL = "label"
 WEIGHT = "weight"
 FEATURES_VEC = "features"
@@ -88,10 +91,17 @@ def build_pipeline(key: str, features: Sequence[str], weight_total: float, seed:
 
 
 def prepare_training(train: DataFrame, features: Sequence[str], label_col: str) -> tuple[DataFrame, float]:
-    """T3 + T10: label as double, balanced weights, cached once for all
-    models (every estimator iterates over it)."""
+    """T3 + T10: label as double, balanced weights, partitioned by size and
+    cached once for all models (every estimator iterates over it)."""
     data = train.select(*features, train[label_col].cast("double").alias(LABEL))
-    data, total = with_weights(data, LABEL, WEIGHT)
+    data, total, rows = with_weights(data, LABEL, WEIGHT, with_rows=True)
+    width = 8 * (len(features) + 2)
+    target = max(1, -(-rows * width // TRAIN_PARTITION_BYTES))
+    current = data.rdd.getNumPartitions()
+    if target < current:
+        data = data.coalesce(target)
+    elif target > current:
+        data = data.repartition(target)
     return data.persist(StorageLevel.MEMORY_AND_DISK), total
 
 

@@ -18,6 +18,7 @@ from ..operators.scale import PopulationStandardScaler
 from ..operators.score import positive_probability, score_frame
 from ..operators.split import class_weights, stratified_split, training_rows
 from ..operators.train import REGISTRY, train_models
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
 
 LANGS = ("en", "de", "es", "fr")
@@ -82,7 +83,13 @@ def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_docs(spark, sf_dir):
-    return stratified_split(document_features(spark, sf_dir), "doc_id", "quality", SPLIT_SEED)
+    """The labelled feature table is small (one row per label) but costly
+    (regex passes over whole texts) and read by the split, the training and
+    the scoring: computed once and cut from its lineage with a reliable
+    checkpoint in the shared folder."""
+    ensure_checkpoint_dir(spark)
+    feats = document_features(spark, sf_dir).checkpoint(eager=True)
+    return stratified_split(feats, "doc_id", "quality", SPLIT_SEED)
 
 
 def _scored(key: str):
