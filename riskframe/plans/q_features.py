@@ -54,6 +54,12 @@ def f1_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(PR.class_profile(cu, "c_mktsegment", ["c_acctbal"]), "share", "mean")
 
 
+def f1_class_profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = read_table(spark, sf_dir, "lineitem")
+    return _r6(_r6(PR.class_profile(li, "l_returnflag", list(MEASURES)), "share"),
+               "mean", digits=9)
+
+
 def f2_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem").withColumn(
         "is_returned", (F.col("l_returnflag") == "R").cast("int"))
@@ -139,6 +145,7 @@ def f10_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "f1_profile": f1_profile,
     "f1_class_profile": f1_class_profile,
+    "f1_class_profile_lineitem": f1_class_profile_lineitem,
     "f2_correlation": f2_correlation,
     "f3_vif_pair": f3_vif_pair,
     "f3_vif": f3_vif,
@@ -225,6 +232,13 @@ SQL = {
         "FROM customer GROUP BY c_mktsegment) SELECT label_value, n, "
         + S.r6("n / sum(n) OVER ()") + " AS share, 'c_acctbal' AS feature, "
         + S.r6("m0") + " AS mean FROM per"),
+    "f1_class_profile_lineitem": (
+        "WITH per AS (SELECT l_returnflag AS label_value, count(*) AS n, "
+        + ", ".join(f"avg({c}) AS m{i}" for i, c in enumerate(MEASURES))
+        + " FROM lineitem GROUP BY l_returnflag) "
+        + " UNION ALL ".join(
+            "SELECT label_value, n, " + S.r6("n / sum(n) OVER ()") + f" AS share, '{c}' AS feature, "
+            + S.r6(f"m{i}", 9) + " AS mean FROM per" for i, c in enumerate(MEASURES))),
     "f2_correlation": _corr_sql(),
     "f3_vif_pair": (
         "WITH r AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem) "

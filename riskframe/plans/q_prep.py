@@ -10,7 +10,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from ..functions.constants import RISK_TIERS, UNDETERMINED
 from ..functions.expressions import r6
 from ..operators.encode import (REFERENCE_CODES, BinaryCode, columns_with_nulls,
-                                encode_categories, null_audit)
+                                encode_categories, null_audit, split_label)
 from ..operators.report import tier_histogram
 from ..operators.scale import standardise
 from ..operators.score import LinearLogitScorer, score_frame
@@ -89,6 +89,13 @@ def p5_columns_with_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return columns_with_nulls(null_audit(o))
 
 
+def p8_features_without_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded orders with the label column (o_orderstatus) split off."""
+    o = read_table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
+    enc = encode_categories(o, [BinaryCode("o_orderstatus", ORDERSTATUS_CODE)])[0]
+    return split_label(enc, "o_orderstatus", required=True)[0]
+
+
 # --- P6, P9 ------------------------------------------------------------------
 
 def p6_standardise(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,6 +134,7 @@ QUERIES = {
     "p3_encode_column_list": p3_encode_column_list,
     "p5_null_audit": p5_null_audit,
     "p5_columns_with_nulls": p5_columns_with_nulls,
+    "p8_features_without_label": p8_features_without_label,
     "p6_standardise": p6_standardise,
     "p9_preprocess": p9_preprocess,
     "slice_tier_histogram": slice_tier_histogram,
@@ -178,6 +186,7 @@ SQL = {
         + _null_audit_sql(_orders_encoded, ("o_orderkey", "o_custkey", "o_orderstatus",
                                             "o_totalprice", "o_orderdate", "o_orderpriority"),
                           {"o_totalprice"}) + ")"),
+    "p8_features_without_label": "SELECT o_orderkey, o_totalprice FROM orders",
     "p6_standardise": f"WITH s AS (SELECT {_stats4} FROM lineitem) "
                       f"SELECT l_orderkey, l_linenumber, {_scaled4} FROM lineitem, s",
     "p9_preprocess": f"WITH s AS (SELECT {_stats4} FROM lineitem) "

@@ -76,6 +76,13 @@ def g3_g4_tier_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tier_histogram(scored_events(spark, sf_dir))
 
 
+def g3_tier_histogram_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G3 on the unrounded probability (``basis="exact"``)."""
+    scored = score_frame(event_scorer(), _labelled_events(spark, sf_dir), label_col="label",
+                         feature_cols=["value"], keep_cols=["event_id"], keep_exact=True)
+    return tier_histogram(scored, F.col("probability_exact"))
+
+
 def g5_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preview(scored_events(spark, sf_dir), "event_id").select(
         "event_id", "probability", "pred_label", "conclusion", "correct", "risk_tier")
@@ -126,6 +133,7 @@ QUERIES = {
     "k1_score_events_stream": k1_score_events_stream,
     "g1_g2_summary": g1_g2_summary,
     "g3_g4_tier_histogram": g3_g4_tier_histogram,
+    "g3_tier_histogram_exact": g3_tier_histogram_exact,
     "g5_preview": g5_preview,
     "e1_confusion": e1_confusion,
     "e2_e5_metrics": e2_e5_metrics,
@@ -194,6 +202,9 @@ SQL = {
     "g3_g4_tier_histogram": (
         f"WITH {_scored_cte}, "
         + S.tier_histogram("scored", "probability", RISK_TIERS, UNDETERMINED)[len("WITH "):]),
+    "g3_tier_histogram_exact": (
+        f"WITH {_scored_cte}, "
+        + S.tier_histogram("s0", "p", RISK_TIERS, UNDETERMINED)[len("WITH "):]),
     "g5_preview": (f"WITH {_scored_cte} SELECT event_id, probability, pred_label, conclusion, "
                    "correct, risk_tier FROM scored ORDER BY event_id LIMIT 10"),
     "e1_confusion": (

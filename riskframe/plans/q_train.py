@@ -56,6 +56,21 @@ def t4_scaler_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      r6(F.col("o_totalprice")).alias("o_totalprice"))
 
 
+def split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lab = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
+    return stratified_split(lab, "doc_id", "quality", SPLIT_SEED)
+
+
+def t1_split_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The split on an imbalanced label (quality)."""
+    return split_labels(spark, sf_dir)
+
+
+def t3_class_weights_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cw = class_weights(training_rows(split_labels(spark, sf_dir)), "quality")
+    return cw.select(F.col("label").alias("quality"), "n", r6(F.col("weight")).alias("weight"))
+
+
 # --- models ----------------------------------------------------------------------
 
 def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,6 +139,8 @@ QUERIES = {
     "t2_training_rows": t2_training_rows,
     "t3_class_weights": t3_class_weights,
     "t4_scaler_fit_on_train": t4_scaler_fit_on_train,
+    "t1_split_labels": t1_split_labels,
+    "t3_class_weights_labels": t3_class_weights_labels,
     "t5_logistic": _scored("logistic"),
     "t6_random_forest": _scored("random_forest"),
     "t7_boosted_deep": _scored("boosted_deep"),
@@ -140,7 +157,21 @@ _split_sql = (
     "s AS (SELECT o_orderkey, o_orderstatus, o_totalprice, CASE WHEN r <= (n * 70) // 100 "
     "THEN 'train' WHEN r <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split FROM r)")
 
+_split_labels_sql = (
+    "WITH h AS (SELECT doc_id, quality, "
+    f"md5(concat_ws('|', CAST(doc_id AS VARCHAR), '{SPLIT_SEED}')) AS h FROM labels), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY h, doc_id) AS r, "
+    "count(*) OVER (PARTITION BY quality) AS n FROM h), "
+    "s AS (SELECT doc_id, quality, CASE WHEN r <= (n * 70) // 100 THEN 'train' "
+    "WHEN r <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split FROM r)")
+
 SQL = {
+    "t1_split_labels": f"{_split_labels_sql} SELECT doc_id, quality, split FROM s",
+    "t3_class_weights_labels": (
+        f"{_split_labels_sql}, c AS (SELECT quality, count(*) AS n FROM s WHERE split <> 'test' "
+        "GROUP BY quality) SELECT quality, n, "
+        "(round(CAST(sum(n) OVER () / (count(*) OVER () * n) AS DOUBLE), 6) + 0.0) AS weight "
+        "FROM c"),
     "t1_split": f"{_split_sql} SELECT o_orderkey, o_orderstatus, split FROM s",
     "t1_split_counts": f"{_split_sql} SELECT o_orderstatus, split, count(*) AS n FROM s "
                        "GROUP BY o_orderstatus, split",
