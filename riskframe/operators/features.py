@@ -42,12 +42,16 @@ def combined_ranking(scores: Mapping[str, DataFrame], abs_scores: Sequence[str]
     rank, and a final order by mean rank then feature name.
 
     All windows here run over k feature rows, never over data rows."""
-    joined = None
+    # one union + one groupBy (a single small shuffle) instead of a chain of
+    # full outer joins
+    parts = None
     for name, table in scores.items():
         s = F.col(name)
         s = F.abs(s) if name in abs_scores else s
-        t = table.select("feature", r6(s).alias(f"_{name}"))
-        joined = t if joined is None else joined.join(t, "feature", "full")
+        t = table.select("feature", F.lit(name).alias("_name"), r6(s).alias("_score"))
+        parts = t if parts is None else parts.unionByName(t)
+    joined = parts.groupBy("feature").agg(
+        *[F.max(F.when(F.col("_name") == n, F.col("_score"))).alias(f"_{n}") for n in scores])
     w = Window.partitionBy()
     ranks = {f"{n}_rank": F.rank().over(w.orderBy(F.col(f"_{n}").desc_nulls_last()))
              for n in scores}

@@ -51,6 +51,19 @@ def confusion_matrix(long: DataFrame, threshold: float = DECISION_THRESHOLD) ->
         "model", "stack(4, 0, 0, tn, 0, 1, fp, 1, 0, fn, 1, 1, tp) AS (truth, pred, n)")
 
 
+def confusion_from_scores(d: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:
+    """tp, fp, fn, tn per model from the distinct-score table of
+    ``score_counts``; sharing that table with the AUC lets one scan and one
+    exchange serve both."""
+    hit = F.col("score") >= F.lit(threshold)
+    z = F.lit(0).cast("long")
+    return d.groupBy("model").agg(
+        F.coalesce(F.sum(F.when(hit, F.col("pos"))), z).alias("tp"),
+        F.coalesce(F.sum(F.when(hit, F.col("neg"))), z).alias("fp"),
+        F.coalesce(F.sum(F.when(~hit, F.col("pos"))), z).alias("fn"),
+        F.coalesce(F.sum(F.when(~hit, F.col("neg"))), z).alias("tn"))
+
+
 def classification_metrics(counts: DataFrame) -> DataFrame:
     """E2-E5 from the confusion counts: accuracy; precision, recall and F1
     are 0 when undefined (the reference's zero_division=0)."""
@@ -71,11 +84,13 @@ def score_counts(long: DataFrame) -> DataFrame:
         F.count_if(F.col("label") == 0).alias("neg"))
 
 
-def auc(long: DataFrame, buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def auc(long: DataFrame, buckets: int = DEFAULT_BUCKETS, counts: DataFrame | None = None
+        ) -> DataFrame:
     """Exact ROC AUC per model, ties counted half:
     sum over scores of pos * (negatives below + negatives tied / 2) / (P * N).
     One class only -> null."""
-    pre = ordered_prefix(score_counts(long), "model", "score", ["neg"], buckets)
+    d = counts if counts is not None else score_counts(long)
+    pre = ordered_prefix(d, "model", "score", ["neg"], buckets)
     return pre.groupBy("model").agg(
         F.try_divide(F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)),
                      F.sum("pos").cast("double") * F.sum("neg").cast("double")).alias("auc"))
@@ -88,12 +103,12 @@ def roc_curve(long: DataFrame, drop_intermediate: bool = True,
     (threshold +inf, 0, 0). With ``drop_intermediate``, a point between two
     others is dropped when its step equals the next one's in both counts
     (the second difference is 0), as the reference's library does."""
-    pre = ordered_prefix(score_counts(long), "model", "score", ["pos", "neg"], buckets,
-                         with_previous=True)
-    # per-model totals straight from the long table (k rows, broadcast), so
-    # the running-sum plan is not evaluated twice
-    totals = long.groupBy("model").agg(
-        F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") == 0).alias("N"),
+    d = score_counts(long)
+    pre = ordered_prefix(d, "model", "score", ["pos", "neg"], buckets, with_previous=True)
+    # per-model totals (k rows, broadcast) from the same distinct-score table,
+    # whose exchange the plan reuses
+    totals = d.groupBy("model").agg(
+        F.sum("pos").alias("P"), F.sum("neg").alias("N"),
         F.max("score").alias("top"), F.min("score").alias("bottom"))
     pts = pre.join(F.broadcast(totals), "model")
     tps = F.col("P") - F.col("pos_below")
@@ -119,7 +134,9 @@ def comparison_table(long: DataFrame, model_order: Sequence[str],
     """E8 (+E10): Model, Accuracy, Precision, Recall, F1, AUC and a rank:
     AUC descending, registry order on ties. Models absent from ``long`` are
     simply not there (skipped)."""
-    m = classification_metrics(confusion_counts(long, threshold)).join(auc(long, buckets), "model")
+    d = score_counts(long)
+    m = classification_metrics(confusion_from_scores(d, threshold)).join(
+        auc(long, buckets, counts=d), "model")
     pairs = []
     for i, name in enumerate(model_order):
         pairs += [F.lit(name), F.lit(i)]

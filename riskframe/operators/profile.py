@@ -176,6 +176,20 @@ def _margins(counts: DataFrame) -> DataFrame:
             .join(tot, "feature"))
 
 
+def contingency_scores(counts: DataFrame, max_values: int = MAX_CATEGORY_VALUES) -> DataFrame:
+    """F5 + F6 from one margins pass: ``(feature, chi2, dof, mutual_info)``."""
+    m = _margins(counts)
+    n, total = F.col("n").cast("double"), F.col("total").cast("double")
+    rc = F.col("r").cast("double") * F.col("c")
+    out = m.groupBy("feature").agg(
+        (F.first("total") * (F.sum(n * n / rc) - 1.0)).alias("chi2"),
+        ((F.first("n_values") - 1) * (F.first("n_labels") - 1)).cast("long").alias("dof"),
+        F.sum((n / total) * F.log(n * total / rc)).alias("mutual_info"),
+        F.first("n_values").alias("_nv"))
+    return out.select("feature", F.when(F.col("_nv") <= max_values, F.col("chi2")).alias("chi2"),
+                      "dof", "mutual_info")
+
+
 def chi_square(counts: DataFrame, max_values: int = MAX_CATEGORY_VALUES) -> DataFrame:
     """contingency chi-square per feature,
     chi2 = N * (sum over observed cells of o^2 / (row * col) - 1),

@@ -109,9 +109,10 @@ def f7_label_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     ft = feature_table(spark, sf_dir)
-    counts = PR.contingency_counts(ft, F.col("label"), FEATURES)
+    scores = PR.contingency_scores(PR.contingency_counts(ft, F.col("label"), FEATURES))
     return FT.combined_ranking(
-        {"chi2": PR.chi_square(counts), "mutual_info": PR.mutual_information(counts),
+        {"chi2": scores.select("feature", "chi2"),
+         "mutual_info": scores.select("feature", "mutual_info"),
          "corr": PR.label_correlation(ft, F.col("label"), FEATURES)}, abs_scores=("corr",))
 
 

@@ -58,9 +58,10 @@ def feature_stage(df: DataFrame, label_col: str, features: Sequence[str], top_n:
     if bins:
         table = df.withColumns({c: FT.bin_expr(col(c), edges) for c, edges in bins.items()})
     label = col(label_col)
-    counts = PR.contingency_counts(table, label, features)
+    scores = PR.contingency_scores(PR.contingency_counts(table, label, features))
     ranking = FT.combined_ranking(
-        {"chi2": PR.chi_square(counts), "mutual_info": PR.mutual_information(counts),
+        {"chi2": scores.select("feature", "chi2"),
+         "mutual_info": scores.select("feature", "mutual_info"),
          "corr": PR.label_correlation(table, label, features)}, abs_scores=("corr",))
     rec = FT.recommend(ranking, top_n)
     return {"ranking": ranking, "recommendation": rec,
