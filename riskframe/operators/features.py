@@ -98,7 +98,7 @@ def lasso_selection(df: DataFrame, features: Sequence[str], label: Column,
     assembled = VectorAssembler(inputCols=list(features), outputCol="_x").transform(scaled)
     model = LinearRegression(featuresCol="_x", labelCol="_y", elasticNetParam=1.0,
                              regParam=alpha, standardization=False, maxIter=max_iter,
-                             tol=1e-9).fit(assembled)
+                             tol=1e-7).fit(assembled)
     coefs = [float(v) for v in model.coefficients.toArray()]
     spark = df.sparkSession
     return spark.createDataFrame(

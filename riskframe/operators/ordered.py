@@ -56,7 +56,8 @@ def _plain_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Seq
 
 def ordered_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
                    buckets: int = DEFAULT_BUCKETS, with_previous: bool = False,
-                   single_task_rows: int | None = None) -> DataFrame:
+                   single_task_rows: int | None = None,
+                   max_group_rows: int | None = None) -> DataFrame:
     """Add ``<v>_below`` = sum of ``v`` over rows of the same group with a
     smaller ``order_col`` (exclusive prefix), for each ``v`` in
     ``value_cols``. With ``with_previous``, also ``prev_<v>`` = ``v`` of the
@@ -64,10 +65,14 @@ def ordered_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Se
 
     ``order_col`` must be a finite, non-null double; (group, order) unique.
     Groups of at most ``single_task_rows`` rows (default ``SINGLE_TASK_ROWS``)
-    use one window per group; larger ones are split into ranges.
+    use one window per group; larger ones are split into ranges. A caller
+    that already knows an upper bound of the group sizes passes it as
+    ``max_group_rows`` and saves the sizing job.
     """
     if single_task_rows is None:
         single_task_rows = SINGLE_TASK_ROWS
+    if max_group_rows is not None and max_group_rows <= single_task_rows:
+        return _plain_prefix(df, group_col, order_col, value_cols, with_previous)
     squashed = _squash(col(order_col).cast("double"))
     sizes = (df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
              .limit(MAX_GROUPS + 1).collect())

@@ -65,7 +65,9 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
     src = spread(df.select(*[col(c) for c in columns]))
     counts = (_stack(src, columns, "DOUBLE").where(F.col("value").isNotNull())
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    pre = ordered_prefix(counts, "feature", "value", ["cnt"])
+    # a column's distinct values are at most its non-null count
+    bound = max([int(m[f"n{i}"]) for i in range(len(columns))], default=0)
+    pre = ordered_prefix(counts, "feature", "value", ["cnt"], max_group_rows=bound)
     qaggs = [F.count(F.lit(1)).alias("n_distinct")]
     for j, q in enumerate(quantiles):
         h = (total - 1) * F.lit(float(q))
