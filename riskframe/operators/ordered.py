@@ -38,8 +38,10 @@ BROADCAST_ROWS = 200_000
 
 
 def _squash(x):
-    """Monotone map of the reals into (-1, 1)."""
-    return x / (F.lit(1.0) + F.abs(x))
+    """Monotone map of the extended reals into [-1, 1] (infinities to the ends)."""
+    inf = float("inf")
+    return (F.when(x == F.lit(inf), F.lit(1.0)).when(x == F.lit(-inf), F.lit(-1.0))
+            .otherwise(x / (F.lit(1.0) + F.abs(x))))
 
 
 def _plain_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
