@@ -11,7 +11,10 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pyspark import StorageLevel
+
 from ..functions.expressions import col, r6
+from ..sources.tables import spread
 from .scale import PopulationStandardScaler
 
 
@@ -95,10 +98,17 @@ def lasso_selection(df: DataFrame, features: Sequence[str], label: Column,
     data = df.select(*[col(c).cast("double").alias(c) for c in features],
                      label.cast("double").alias("_y")).dropna()
     scaled = PopulationStandardScaler(inputCols=list(features)).fit(data).transform(data)
-    assembled = VectorAssembler(inputCols=list(features), outputCol="_x").transform(scaled)
-    model = LinearRegression(featuresCol="_x", labelCol="_y", elasticNetParam=1.0,
-                             regParam=alpha, standardization=False, maxIter=max_iter,
-                             tol=1e-7).fit(assembled)
+    # every optimiser iteration is a pass over the rows: spread an
+    # under-partitioned input and cache the assembled rows once
+    assembled = (VectorAssembler(inputCols=list(features), outputCol="_x")
+                 .transform(spread(scaled.select(*features, "_y")))
+                 .select("_x", "_y").persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        model = LinearRegression(featuresCol="_x", labelCol="_y", elasticNetParam=1.0,
+                                 regParam=alpha, standardization=False, maxIter=max_iter,
+                                 tol=1e-7).fit(assembled)
+    finally:
+        assembled.unpersist()
     coefs = [float(v) for v in model.coefficients.toArray()]
     spark = df.sparkSession
     return spark.createDataFrame(
