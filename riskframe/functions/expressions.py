@@ -74,3 +74,13 @@ def r6(c: Column, digits: int = 6) -> Column:
     -0.0. Means of short decimals (prices, rates) are short decimals too and
     can sit exactly on a 6-digit tie; compare those at 9."""
     return F.round(c.cast("double"), digits) + F.lit(0.0)
+
+
+def sig(c: Column, digits: int = 10) -> Column:
+    """Round to ``digits`` significant digits (for cross-engine comparison of
+    means whose magnitude varies: fixed decimals either cut below the
+    summation noise of large values or land on exact ties of short
+    decimals). 0 and null stay as they are."""
+    x = c.cast("double")
+    p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
+    return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / p, digits - 1) * p) + F.lit(0.0)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import code_map, r6
+from ..functions.expressions import code_map, r6, sig
 from ..operators import features as FT
 from ..operators import profile as PR
 from ..sources.tables import read_table
@@ -45,7 +45,7 @@ def _r6(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 def f1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    prof = _r6(PR.numeric_profile(li, MEASURES), "mean", digits=9)
+    prof = PR.numeric_profile(li, MEASURES).withColumn("mean", sig(F.col("mean")))
     return _r6(prof, "stddev", "q25", "q50", "q75")
 
 
@@ -56,8 +56,8 @@ def f1_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def f1_class_profile_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    return _r6(_r6(PR.class_profile(li, "l_returnflag", list(MEASURES)), "share"),
-               "mean", digits=9)
+    prof = PR.class_profile(li, "l_returnflag", list(MEASURES))
+    return _r6(prof, "share").withColumn("mean", sig(F.col("mean")))
 
 
 def f2_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,7 @@ def _profile_sql() -> str:
     for c in MEASURES:
         parts.append(
             f"SELECT '{c}' AS feature, count({c}) AS n, count(*) FILTER (WHERE {c} IS NULL) "
-            f"AS nulls, min({c}) AS min, max({c}) AS max, " + S.r6(f"avg({c})", 9) + " AS mean, "
+            f"AS nulls, min({c}) AS min, max({c}) AS max, " + S.sig(f"avg({c})") + " AS mean, "
             + S.r6(f"stddev_samp({c})") + " AS stddev, count(DISTINCT " + c + ") AS n_distinct, "
             + ", ".join(S.r6(f"quantile_cont({c}, {q})") + f" AS q{int(q * 100)}"
                         for q in (0.25, 0.5, 0.75)) + " FROM lineitem")
@@ -239,7 +239,7 @@ SQL = {
         + " FROM lineitem GROUP BY l_returnflag) "
         + " UNION ALL ".join(
             "SELECT label_value, n, " + S.r6("n / sum(n) OVER ()") + f" AS share, '{c}' AS feature, "
-            + S.r6(f"m{i}", 9) + " AS mean FROM per" for i, c in enumerate(MEASURES))),
+            + S.sig(f"m{i}") + " AS mean FROM per" for i, c in enumerate(MEASURES))),
     "f2_correlation": _corr_sql(),
     "f3_vif_pair": (
         "WITH r AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem) "

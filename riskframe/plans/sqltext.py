@@ -10,6 +10,13 @@ def r6(expr: str, digits: int = 6) -> str:
     return f"(round(CAST({expr} AS DOUBLE), {digits}) + 0.0)"
 
 
+def sig(expr: str, digits: int = 10) -> str:
+    """Twin of ``expressions.sig``: round to significant digits."""
+    p = f"pow(10.0, floor(log10(abs(CAST({expr} AS DOUBLE)))))"
+    return (f"(CASE WHEN CAST({expr} AS DOUBLE) = 0 THEN 0.0 ELSE "
+            f"round(CAST({expr} AS DOUBLE) / {p}, {digits - 1}) * {p} END + 0.0)")
+
+
 def case_map(column: str, mapping: Mapping[str, int]) -> str:
     whens = " ".join(f"WHEN '{k}' THEN {v}" for k, v in mapping.items())
     return f"CAST(CASE CAST({column} AS VARCHAR) {whens} END AS INTEGER)"
