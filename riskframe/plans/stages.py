@@ -31,11 +31,15 @@ from ..sources.tables import (StageStore, first_existing, path_exists, read_csv,
 
 def preprocess(spark: SparkSession, source: DataFrame | str, schema: StructType | None = None,
                codes: Sequence[BinaryCode] = REFERENCE_CODES,
-               numeric: Sequence[str] = NUMERIC_COLUMNS, export_path: str | None = None
-               ) -> tuple[DataFrame, dict]:
+               numeric: Sequence[str] = NUMERIC_COLUMNS, export_path: str | None = None,
+               fit_on: str | DataFrame = "all") -> tuple[DataFrame, dict]:
     """Stage A (P9): read (S1) -> refuse empty (S2) -> encode (P1-P4) ->
-    null audit (P5) -> standardise on the whole table, as the reference does
-    (P6) -> optional export (S3). Returns the cleaned table and a report."""
+    null audit (P5) -> standardise (P6) -> optional export (S3). Returns the
+    cleaned table and a report.
+
+    ``fit_on="all"`` fits the scaler on the whole table, as the reference
+    does (test rows then leak into mean and std); pass the training rows
+    (already encoded) to fit on them instead."""
     if isinstance(source, str):
         if schema is None:
             raise ValueError("reading a CSV needs an explicit schema")
@@ -43,7 +47,10 @@ def preprocess(spark: SparkSession, source: DataFrame | str, schema: StructType
     df = require_rows(source, "raw table")
     enc, report = encode_categories(df, codes)
     audit = null_audit(enc)
-    scaler = PopulationStandardScaler(inputCols=list(numeric)).fit(enc)
+    if isinstance(fit_on, str) and fit_on != "all":
+        raise ValueError("fit_on is 'all' or a DataFrame of training rows")
+    scaler = PopulationStandardScaler(inputCols=list(numeric)).fit(
+        enc if isinstance(fit_on, str) else fit_on)
     cleaned = scaler.transform(enc)
     if export_path:
         write_table(cleaned, export_path, "csv")

@@ -108,3 +108,18 @@ def test_ranking_and_recommendation(spark):
     assert got == {"f2": 1, "f1": 2, "f3": 3}
     rec = FT.recommend(rk, 2)
     assert {r["feature"] for r in rec.where("recommended").collect()} == {"f1", "f2"}
+
+
+def test_chi_square_agrees_with_spark_ml(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import ChiSquareTest
+    li = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").select(
+        F.col("l_discount"), F.col("l_tax"),
+        (F.col("l_returnflag") == "R").cast("double").alias("y"))
+    ours = {r["feature"]: (r["chi2"], r["dof"]) for r in
+            PR.chi_square(PR.contingency_counts(li, F.col("y"), ["l_discount", "l_tax"])).collect()}
+    vec = VectorAssembler(inputCols=["l_discount", "l_tax"], outputCol="v").transform(li)
+    res = ChiSquareTest.test(vec, "v", "y").first()
+    for i, name in enumerate(["l_discount", "l_tax"]):
+        assert ours[name][0] == pytest.approx(float(res["statistics"][i]), rel=1e-9)
+        assert ours[name][1] == res["degreesOfFreedom"][i]
