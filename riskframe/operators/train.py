@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,6 +20,7 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.util import inheritable_thread_target
 
 from ..sources.tables import path_exists
 from .scale import PopulationStandardScaler
@@ -30,6 +32,8 @@ TRAIN_PARTITION_BYTES = 32 << 20
 LABEL = "label"
 WEIGHT = "weight"
 FEATURES_VEC = "features"
+# registered models fitted at the same time (as CrossValidator's parallelism)
+FIT_PARALLELISM = 5
 
 
 @dataclass(frozen=True)
@@ -110,12 +114,28 @@ def prepare_training(train: DataFrame, features: Sequence[str], label_col: str)
 
 def train_models(train: DataFrame, features: Sequence[str], label_col: str,
                  keys: Sequence[str] | None = None, seed: int = 42,
-                 max_iter_scale: float = 1.0) -> dict[str, PipelineModel]:
-    """Fit every registered model (or ``keys``) on one cached set."""
+                 max_iter_scale: float = 1.0,
+                 parallelism: int = FIT_PARALLELISM) -> dict[str, PipelineModel]:
+    """Fit every registered model (or ``keys``) on one cached set.
+
+    Each fit is a chain of small jobs (one per tree level, boosting round or
+    optimiser step) whose tasks often do not fill the cluster, so up to
+    ``parallelism`` fits are submitted at once from driver threads, as
+    ``CrossValidator`` does; the scheduler interleaves their jobs. Results
+    are independent of the order in which jobs run."""
+    keys = list(keys or REGISTRY)
     data, total = prepare_training(train, features, label_col)
+    spark = data.sparkSession
+
+    def fit(key: str) -> PipelineModel:
+        return build_pipeline(key, features, total, seed, max_iter_scale).fit(data)
+
     try:
-        return {k: build_pipeline(k, features, total, seed, max_iter_scale).fit(data)
-                for k in (keys or list(REGISTRY))}
+        if parallelism <= 1 or len(keys) == 1:
+            return {k: fit(k) for k in keys}
+        with ThreadPoolExecutor(max_workers=min(parallelism, len(keys))) as pool:
+            futures = {k: pool.submit(inheritable_thread_target(spark)(fit), k) for k in keys}
+            return {k: futures[k].result() for k in keys}
     finally:
         data.unpersist()
 
