@@ -5,17 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
+from pyspark.ml.feature import PCA, StandardScaler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
-
 from ..functions.expressions import col, r6
-from ..sources.tables import spread
-from .scale import PopulationStandardScaler
 
 
 def bin_expr(c: Column, edges: Sequence[float]) -> Column:
@@ -91,28 +86,52 @@ def field_dictionary(spark: SparkSession, recommendation: DataFrame,
 # --- F8 -----------------------------------------------------------------------------
 
 def lasso_selection(df: DataFrame, features: Sequence[str], label: Column,
-                    alpha: float = 0.01, max_iter: int = 1000) -> DataFrame:
-    """F8: L1 linear regression on standardised features; a zero coefficient
-    drops the feature. ``standardization=False`` with population-scaled
-    inputs gives the usual objective 1/(2n) RSS + alpha |b|_1."""
-    data = df.select(*[col(c).cast("double").alias(c) for c in features],
+                    alpha: float = 0.01, max_sweeps: int = 1_000_000,
+                    tol: float = 1e-12) -> DataFrame:
+    """F8: L1 linear regression on population-standardised features, the
+    usual objective 1/(2n) RSS + alpha |b|_1 with an intercept; a zero
+    coefficient drops the feature.
+
+    The objective depends on the data only through the k x k covariance of
+    the features and their covariance with the label, so the data is read
+    once: one aggregate of ``covar_pop`` over all pairs (map-side partials,
+    a one-row result). Coordinate descent then runs on that k x k system on
+    the driver, to a tight tolerance, with no further pass over the rows
+    (an iterative optimiser over the rows would scan them once per step and
+    stops early on collinear features). Rows with a null are left out."""
+    k = len(features)
+    data = df.select(*[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)],
                      label.cast("double").alias("_y")).dropna()
-    scaled = PopulationStandardScaler(inputCols=list(features)).fit(data).transform(data)
-    # every optimiser iteration is a pass over the rows: spread an
-    # under-partitioned input and cache the assembled rows once
-    assembled = (VectorAssembler(inputCols=list(features), outputCol="_x")
-                 .transform(spread(scaled.select(*features, "_y")))
-                 .select("_x", "_y").persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        model = LinearRegression(featuresCol="_x", labelCol="_y", elasticNetParam=1.0,
-                                 regParam=alpha, standardization=False, maxIter=max_iter,
-                                 tol=1e-7).fit(assembled)
-    finally:
-        assembled.unpersist()
-    coefs = [float(v) for v in model.coefficients.toArray()]
+    aggs = [F.covar_pop(f"_x{i}", f"_x{j}").alias(f"c{i}_{j}")
+            for i in range(k) for j in range(i, k)]
+    aggs += [F.covar_pop(f"_x{i}", "_y").alias(f"y{i}") for i in range(k)]
+    m = data.agg(*aggs).first()
+    cov = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            cov[i, j] = cov[j, i] = m[f"c{i}_{j}"] or 0.0
+    sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
+    live = sd > 0
+    scale = np.where(live, sd, 1.0)
+    # standardised Gram matrix and label covariances (constant columns: 0)
+    gram = cov / np.outer(scale, scale) * np.outer(live, live)
+    c = np.array([m[f"y{i}"] or 0.0 for i in range(k)]) / scale * live
+    b = np.zeros(k)
+    for _ in range(max_sweeps):
+        step = 0.0
+        for j in np.flatnonzero(live):
+            rho = c[j] - gram[j] @ b + gram[j, j] * b[j]
+            new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / gram[j, j]
+            step = max(step, abs(new - b[j]))
+            b[j] = new
+        if step <= tol:
+            break
+    else:
+        raise ValueError(f"lasso did not converge in {max_sweeps} sweeps")
+    coefs = [float(v) for v in b]
     spark = df.sparkSession
     return spark.createDataFrame(
-        [(f, c, abs(c), c != 0.0) for f, c in zip(features, coefs)],
+        [(f, v, abs(v), v != 0.0) for f, v in zip(features, coefs)],
         "feature string, coefficient double, lasso double, selected boolean")
 
 

@@ -241,6 +241,7 @@ SQL = {
             "SELECT label_value, n, " + S.r6("n / sum(n) OVER ()") + f" AS share, '{c}' AS feature, "
             + S.sig(f"m{i}") + " AS mean FROM per" for i, c in enumerate(MEASURES))),
     "f2_correlation": _corr_sql(),
+    "f3_vif": S.vif("lineitem", list(MEASURES)),
     "f3_vif_pair": (
         "WITH r AS (SELECT corr(l_quantity, l_extendedprice) AS r FROM lineitem) "
         "SELECT 'l_quantity' AS feature, " + S.r6("1.0 / (1.0 - r * r)")

@@ -42,3 +42,35 @@ def tier_histogram(source: str, p: str, tiers, undetermined: str, slots: int = 3
         f"u AS ({unions} UNION ALL SELECT {len(tiers)}, '{undetermined}', und, total FROM c) "
         "SELECT CAST(tier_order AS INTEGER) AS tier_order, risk_tier, CAST(n AS BIGINT) AS n, "
         f"CAST(floor(n / greatest(1, floor(total / {slots}))) AS BIGINT) AS bar FROM u")
+
+
+def _det(m: Sequence[Sequence[str]]) -> str:
+    """Determinant of a small symbolic matrix as SQL: the sum over
+    permutations of signed products of entries (k! terms; for k <= 5)."""
+    from itertools import permutations
+    k = len(m)
+    terms = []
+    for perm in permutations(range(k)):
+        inversions = sum(1 for a in range(k) for b in range(a + 1, k) if perm[a] > perm[b])
+        prod = " * ".join(m[i][perm[i]] for i in range(k))
+        terms.append(("- " if inversions % 2 else "+ ") + f"({prod})")
+    return "(0.0 " + " ".join(terms) + ")"
+
+
+def vif(table: str, columns: Sequence[str]) -> str:
+    """Twin of ``profile.vif``: VIF_j = (R^-1)_jj = det(R without row and
+    column j) / det(R), R the Pearson matrix over complete rows."""
+    k = len(columns)
+    name = lambda i, j: "1.0" if i == j else f"r_{min(i, j)}_{max(i, j)}"
+    corrs = ", ".join(f"corr({columns[i]}, {columns[j]}) AS r_{i}_{j}"
+                      for i in range(k) for j in range(i + 1, k))
+    complete = " AND ".join(f"{c} IS NOT NULL" for c in columns)
+    full = [[name(i, j) for j in range(k)] for i in range(k)]
+    rows = []
+    for j, c in enumerate(columns):
+        keep = [i for i in range(k) if i != j]
+        minor = _det([[name(a, b) for b in keep] for a in keep])
+        rows.append(f"SELECT '{c}' AS feature, CASE WHEN d = 0 THEN NULL ELSE "
+                    f"{r6(minor + ' / d')} END AS vif, d = 0 AS singular FROM m")
+    return (f"WITH c AS (SELECT {corrs} FROM {table} WHERE {complete}), "
+            f"m AS (SELECT *, {_det(full)} AS d FROM c) " + " UNION ALL ".join(rows))

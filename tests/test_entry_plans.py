@@ -8,7 +8,7 @@ import __spark_entry__ as E  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"t5_logistic", "t6_random_forest", "t7_boosted_deep", "t8_boosted_shallow", "t9_mlp",
-        "t10_evaluate_trained", "f8_lasso"}
+        "t10_evaluate_trained"}
 
 
 def test_entry_runs(spark):
