@@ -84,3 +84,15 @@ def sig(c: Column, digits: int = 10) -> Column:
     x = c.cast("double")
     p = F.pow(F.lit(10.0), F.floor(F.log10(F.abs(x))))
     return F.when(x == 0, F.lit(0.0)).otherwise(F.round(x / p, digits - 1) * p) + F.lit(0.0)
+
+
+def pearson(a: Column, b: Column) -> Column:
+    """Aggregate: Pearson r over rows where both are non-null, null when
+    either side has zero variance or fewer than two rows. (Built-in
+    ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode.)
+    Same central moments as ``corr``, so the values agree."""
+    x, y = a.cast("double"), b.cast("double")
+    both = x.isNotNull() & y.isNotNull()
+    vx = F.var_pop(F.when(both, x))
+    vy = F.var_pop(F.when(both, y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(vx * vy))

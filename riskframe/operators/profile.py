@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, sql_string
+from ..functions.expressions import col, pearson, sql_string
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import spread
 from .ordered import ordered_prefix
@@ -100,17 +100,50 @@ def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFram
 
 # --- F2, F3, F7 ---------------------------------------------------------------------
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for all pairs x <= y in one aggregate (pairwise
-    complete), long form ``(x, y, r)``. Past ~60 columns use
-    ``pyspark.ml.stat.Correlation`` on an assembled vector instead."""
+# k(k+1)/2 corr buffers in one generated plan: fine up to about this k
+WIDE_CORRELATION = 60
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str],
+                      wide_at: int = WIDE_CORRELATION) -> DataFrame:
+    """Pearson r for all pairs x <= y, long form ``(x, y, r)``.
+
+    Up to ``wide_at`` columns: all pairs in one aggregate (pairwise
+    complete). Wider: ``pyspark.ml.stat.Correlation`` on an assembled vector,
+    one tree-aggregate pass to a k x k matrix (complete rows only; rows with
+    a null are skipped). Zero variance gives null in both."""
+    if len(columns) > wide_at:
+        return _correlation_pairs_wide(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    aggs = [F.corr(col(a).cast("double"), col(b).cast("double")).alias(f"r{i}")
+    aggs = [pearson(col(a), col(b)).alias(f"r{i}")
             for i, (a, b) in enumerate(pairs)]
     parts = ", ".join(f"{sql_string(a)}, {sql_string(b)}, r{i}" for i, (a, b) in enumerate(pairs))
     return df.agg(*aggs).selectExpr(f"stack({len(pairs)}, {parts}) AS (x, y, r)")
 
 
+def _correlation_pairs_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.stat import Correlation
+    names = [f"_c{i}" for i in range(len(columns))]
+    data = df.select(*[col(c).cast("double").alias(n) for c, n in zip(columns, names)])
+    vec = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="skip").transform(data)
+    m = Correlation.corr(vec.select("_v"), "_v").first()[0].toArray()  # k x k, bounded
+    # Correlation puts 1.0 on the diagonal of a constant column too; make it
+    # null as the one-aggregate path does. A column with a finite partner
+    # varies; one without varies only if no column has a partner, which a
+    # min = max check over the complete rows settles (degenerate case only).
+    finite = ~np.isnan(m)
+    np.fill_diagonal(finite, False)
+    varies = finite.any(axis=1)
+    if not varies.any():
+        r = data.dropna().agg(*[(F.min(n) < F.max(n)).alias(n) for n in names]).first()
+        varies = np.array([bool(r[n]) for n in names])
+    m[np.diag_indices_from(m)] = np.where(varies, 1.0, np.nan)
+    rows = [(a, b, None if np.isnan(m[i, j]) else float(m[i, j]))
+            for i, a in enumerate(columns) for j, b in enumerate(columns) if j >= i]
+    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
     """k x k correlation matrix on the driver (k^2 numbers, bounded)."""
     k = len(columns)
@@ -140,7 +173,7 @@ def vif(spark: SparkSession, df: DataFrame, columns: Sequence[str]) -> DataFrame
 def label_correlation(df: DataFrame, label: Column, columns: Sequence[str]) -> DataFrame:
     """Pearson r of each feature with the label, one aggregate."""
     y = label.cast("double")
-    aggs = [F.corr(col(c).cast("double"), y).alias(f"r{i}") for i, c in enumerate(columns)]
+    aggs = [pearson(col(c), y).alias(f"r{i}") for i, c in enumerate(columns)]
     parts = ", ".join(f"{sql_string(c)}, r{i}" for i, c in enumerate(columns))
     return df.agg(*aggs).selectExpr(f"stack({len(columns)}, {parts}) AS (feature, corr)")
 

@@ -112,3 +112,28 @@ def test_pca_matches_numpy_eigendecomposition(spark):
     want = dict(zip(ids, z @ v))
     for r in proj.collect():
         assert [r["pc1"], r["pc2"]] == pytest.approx(list(want[r["vec_id"]]), abs=1e-6)
+
+
+def test_wide_correlation_path_equals_one_aggregate(spark):
+    df = _lineitem(spark).withColumn("const", F.lit(3.0))
+    cols = ["l_quantity", "l_extendedprice", "l_tax", "net_qty", "const"]
+    narrow = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols).collect()}
+    wide = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols, wide_at=2).collect()}
+    assert narrow.keys() == wide.keys() and len(wide) == 15
+    for key, r in narrow.items():
+        if "const" in key:
+            assert r is None and wide[key] is None
+        else:
+            assert wide[key] == pytest.approx(r, abs=1e-9)
+
+
+def test_correlation_with_constant_columns_is_null_not_an_error(spark):
+    df = _lineitem(spark).withColumns({"c1": F.lit(1.0), "c2": F.lit(2.0)})
+    for cols in (["l_quantity", "c1", "c2"], ["c1", "c2"]):
+        for wide_at in (60, 1):
+            got = {(r["x"], r["y"]): r["r"]
+                   for r in PR.correlation_pairs(df, cols, wide_at=wide_at).collect()}
+            for (x, y), r in got.items():
+                assert (r is None) == (x != "l_quantity" or y != "l_quantity"), (cols, wide_at)
+    lc = PR.label_correlation(df, F.col("c1"), ["l_quantity"]).first()
+    assert lc["corr"] is None
