@@ -137,3 +137,18 @@ def test_correlation_with_constant_columns_is_null_not_an_error(spark):
                 assert (r is None) == (x != "l_quantity" or y != "l_quantity"), (cols, wide_at)
     lc = PR.label_correlation(df, F.col("c1"), ["l_quantity"]).first()
     assert lc["corr"] is None
+
+
+def test_lasso_reads_the_rows_in_one_aggregate(spark):
+    """However many coordinate-descent sweeps run, the data is aggregated
+    once (an optimiser over the rows would launch jobs per step)."""
+    sc = spark.sparkContext
+    df = _lineitem(spark)  # reading the schema is a job of its own, not counted
+    sc.setJobGroup("lasso-one-pass", "lasso job count")
+    try:
+        FT.lasso_selection(df, ["l_quantity", "l_extendedprice", "l_tax", "net_qty"],
+                           F.col("bulk"), alpha=0.001)
+        jobs = sc.statusTracker().getJobIdsForGroup("lasso-one-pass")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    assert 1 <= len(jobs) <= 2, jobs  # the aggregate (plus AQE's shuffle-stage job)
