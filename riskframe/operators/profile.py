@@ -127,7 +127,12 @@ def _correlation_pairs_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     names = [f"_c{i}" for i in range(len(columns))]
     data = df.select(*[col(c).cast("double").alias(n) for c, n in zip(columns, names)])
     vec = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="skip").transform(data)
-    m = Correlation.corr(vec.select("_v"), "_v").first()[0].toArray()  # k x k, bounded
+    try:
+        m = Correlation.corr(vec.select("_v"), "_v").first()[0].toArray()  # k x k, bounded
+    except Exception:
+        if not vec.isEmpty():
+            raise
+        m = np.full((len(columns), len(columns)), np.nan)  # no complete row: all null
     # Correlation puts 1.0 on the diagonal of a constant column too; make it
     # null as the one-aggregate path does. A column with a finite partner
     # varies; one without varies only if no column has a partner, which a

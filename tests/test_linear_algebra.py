@@ -152,3 +152,10 @@ def test_lasso_reads_the_rows_in_one_aggregate(spark):
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
     assert 1 <= len(jobs) <= 2, jobs  # the aggregate (plus AQE's shuffle-stage job)
+
+
+def test_wide_correlation_on_empty_input_is_null(spark):
+    empty = spark.createDataFrame([], "a double, b double, c double")
+    for wide_at in (60, 1):
+        rows = PR.correlation_pairs(empty, ["a", "b", "c"], wide_at=wide_at).collect()
+        assert len(rows) == 6 and all(r["r"] is None for r in rows)
