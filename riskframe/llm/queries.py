@@ -6,19 +6,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.llm.decontaminate import leaked_items
 from riskframe.llm.near_dedup import near_duplicates
+from riskframe.llm.substring_dedup import passage_rows
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain a benchmark item, with the window that matches."""
+    return leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_collinear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeated passages of all documents, with the document that keeps each."""
+    return passage_rows(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_decontamination": op2_simhash_decontamination,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
 }
 SQL: dict[str, str] = {}
