@@ -1,6 +1,6 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-An item of n words is compared with windows of n words. Both are five-word
+Case and ASCII punctuation do not count. An item of n words is compared with windows of n words. Both are five-word
 shingles (an item of fewer words is one shingle) weighted by 1 + ln(N /
 items that have the shingle); the 64-bit SimHash of a window is the sign
 of the weighted sum of its shingles' +-1 hash bits. All items of a window's length
@@ -36,8 +36,13 @@ _EDGES = np.linspace(0, 64, RADIUS + 2).astype(int)
 _LEAKS = "id bigint, item bigint, first_word int, n_words int, similarity double, distance int"
 
 
+def _weight(n: int, df: int) -> int:
+    """Whole thousandths, so that equal windows have equal sums whatever the order."""
+    return round(1000 * (1 + math.log(max(n, 1) / df)))
+
+
 def _signs(g: np.ndarray) -> np.ndarray:
-    return ((g[:, None] >> _BITS) & U64(1)).astype(np.float64) * 2 - 1
+    return ((g[:, None] >> _BITS) & U64(1)).astype(np.int64) * 2 - 1
 
 
 def _pack(total: np.ndarray) -> np.ndarray:
@@ -55,10 +60,10 @@ def _blocks(fingerprints: np.ndarray) -> np.ndarray:
 class Index:
     """Items by length, with their block index."""
 
-    def __init__(self, items: list[tuple[int, int, np.ndarray, np.ndarray]], rare: float) -> None:
+    def __init__(self, items: list[tuple[int, int, np.ndarray, np.ndarray]], rare: int) -> None:
         """items: (item, n_words, shingles in any order, weights); rare: weight of a shingle in no item."""
         self.rare, self.items = rare, items
-        pairs = {int(s): float(w) for _, _, g, ws in items for s, w in zip(g, ws, strict=True)}
+        pairs = {int(s): int(w) for _, _, g, ws in items for s, w in zip(g, ws, strict=True)}
         self.shingles = np.array(sorted(pairs), U64)
         self.weights = np.array([pairs[int(s)] for s in self.shingles])
         self.seen = np.zeros(1 << 20, bool)
@@ -78,7 +83,7 @@ class Index:
     def weigh(self, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Weights of shingles, and which of them belong to an item."""
         hit = self.seen[(g >> U64(44)).astype(np.int64)]
-        out = np.full(len(g), self.rare)
+        out = np.full(len(g), self.rare, np.int64)
         at = np.flatnonzero(hit)
         if len(at):
             i = np.minimum(np.searchsorted(self.shingles, g[at]), len(self.shingles) - 1)
@@ -103,7 +108,7 @@ class Index:
             if not hit.any():
                 continue
             if total is None:
-                total = np.zeros((len(g) + 1, 64))
+                total = np.zeros((len(g) + 1, 64), np.int64)
                 np.cumsum(_signs(g) * w[:, None], axis=0, out=total[1:])
                 by_k[k] = (g, w, hit, total)
             size = n - k + 1
@@ -136,7 +141,7 @@ class Index:
 def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi in slices(batch.column(1)):
-            w = words(batch.column(1).slice(lo, hi - lo))
+            w = words(batch.column(1).slice(lo, hi - lo), punctuation=False)
             rows = [(batch.column(0)[lo + i].as_py(), batch.column(2)[lo + i].as_py(), len(w.of(i)), signed(shingle_hashes(w.of(i), SHINGLE)).tolist()) for i in range(hi - lo)]
             rows = [x for x in rows if x[2]]
             yield pa.RecordBatch.from_arrays(
@@ -156,7 +161,7 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     columns are not looked at.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.col(item_text_col).alias("text"),
+    items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.lower(item_text_col).alias("text"),
                              F.xxhash64(item_text_col).alias("version")).filter("item is not null").distinct() \
         .mapInArrow(_item_batches, "item bigint, version bigint, n_words int, shingles array<bigint>")
     n = items.count()
@@ -164,20 +169,20 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     df = each.groupBy("s").agg(F.count_distinct("item").alias("df"))
     weighed = (each.join(df, "s").groupBy("item", "version", "n_words")
                .agg(F.sort_array(F.collect_list(F.struct("s", "df"))).alias("x")))
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text")).filter("id is not null")
+    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lower(text_col).alias("text")).filter("id is not null")
     passes = max(1, math.ceil(n / ITEMS_PER_PASS))
     found = None
     for k in range(passes):
         part = weighed.filter(F.pmod(F.xxhash64("item"), F.lit(passes)) == k).collect()  # ITEMS_PER_PASS or so
         index = Index([(r["item"], r["n_words"], np.array([x["s"] for x in r["x"]], np.int64).view(U64),
-                        np.array([1 + math.log(n / x["df"]) for x in r["x"]])) for r in part], 1 + math.log(max(n, 1)))
+                        np.array([_weight(n, x["df"]) for x in r["x"]])) for r in part], _weight(n, 1))
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = shared.value
             for batch in batches:
                 for lo, hi in slices(batch.column(1)):
-                    w = words(batch.column(1).slice(lo, hi - lo))
+                    w = words(batch.column(1).slice(lo, hi - lo), punctuation=False)
                     rows = [(batch.column(0)[lo + i].as_py(), *x) for i in range(hi - lo) for x in index.leaks(w.of(i))]
                     columns = list(zip(*rows, strict=True)) or [[]] * 6
                     kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.float64(), pa.int32())

@@ -36,6 +36,8 @@ def seeds(n: int, start: int = 1) -> np.ndarray:
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+_BREAK = _SPACE.copy()  # the same, with ASCII punctuation
+_BREAK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _VALUE = seeds(256, 1000)
 _VALUE[0x41:0x5B] = _VALUE[0x61:0x7B]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
@@ -84,14 +86,16 @@ def _text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return d[o[0]:o[-1]], o - o[0]
 
 
-def words(column: pa.Array) -> Words:
-    """Split and hash every text of an Arrow string column (null = empty)."""
+def words(column: pa.Array, punctuation: bool = True) -> Words:
+    """Split and hash every text of an Arrow string column (null = empty).
+
+    Without ``punctuation``, ASCII punctuation separates words like space."""
     data, offs = _text_bytes(column)
     n = len(data)
     if not n:
         e = np.zeros(0, np.int64)
         return Words(np.zeros(0, U64), e, e, np.zeros(len(offs), np.int64), data, offs)
-    space = _SPACE[data]
+    space = (_SPACE if punctuation else _BREAK)[data]
     first = np.empty(n + 1, bool)  # a word may begin here
     first[0], first[1:n], first[n] = True, space[:-1], True
     first[offs] = True
