@@ -95,24 +95,22 @@ class Index:
     def leaks(self, h: np.ndarray) -> list[tuple[int, int, int, float, int]]:
         """(item, first word, words, similarity, distance): the best window of each item in a text."""
         best: dict[int, tuple] = {}
-        by_k: dict[int, tuple] = {}
-        for n, (at, f, keys, who) in self.lengths.items():
-            if len(h) < n:
-                continue
-            k = min(SHINGLE, n)
-            if k not in by_k:
+        for k in range(1, SHINGLE + 1):
+            mine = [n for n in self.lengths if min(n, SHINGLE) == k and n <= len(h)]
+            if mine:
                 g = shingle_hashes(h, k)
                 w, hit = self.weigh(g)
-                by_k[k] = (g, w, hit, None)
-            g, w, hit, total = by_k[k]
-            if not hit.any():
-                continue
-            if total is None:
-                total = np.zeros((len(g) + 1, 64), np.int64)
-                np.cumsum(_signs(g) * w[:, None], axis=0, out=total[1:])
-                by_k[k] = (g, w, hit, total)
+                if hit.any():
+                    self._windows(g, w, hit, k, mine, best)
+        return [best[x] for x in sorted(best)]
+
+    def _windows(self, g: np.ndarray, w: np.ndarray, hit: np.ndarray, k: int, lengths: list[int], best: dict) -> None:
+        total = np.zeros((len(g) + 1, 64), np.int64)
+        np.cumsum(_signs(g) * w[:, None], axis=0, out=total[1:])
+        some = np.concatenate(([0], np.cumsum(hit)))
+        for n in lengths:
+            at, f, keys, who = self.lengths[n]
             size = n - k + 1
-            some = np.concatenate(([0], np.cumsum(hit)))
             starts = np.flatnonzero(some[size:] - some[:-size] > 0)
             if not len(starts):
                 continue
@@ -135,7 +133,6 @@ class Index:
                 score = float(shared / (weights.sum() + w[s:s + size][first].sum() - shared))
                 if score >= SIMILARITY - 1e-9 and (name not in best or score > best[name][3]):
                     best[name] = (name, s, n, score, int(d))
-        return [best[x] for x in sorted(best)]
 
 
 def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
