@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskframe.llm.decontaminate import leaked_items
 from riskframe.llm.near_dedup import near_duplicates
+from riskframe.llm.quality import quality_scores
 from riskframe.llm.substring_dedup import passage_rows
 
 
@@ -20,6 +21,11 @@ def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op4_sparse_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of all documents, learned from the labels of two folds of three."""
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents."""
     return near_duplicates(_table(spark, sf_dir, "documents"))
@@ -32,6 +38,7 @@ def op9_collinear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_decontamination": op2_simhash_decontamination,
+    "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
 }
