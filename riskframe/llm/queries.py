@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from riskframe.llm.decontaminate import leaked_items
+from riskframe.llm.mixing import taken
 from riskframe.llm.near_dedup import near_duplicates
 from riskframe.llm.quality import quality_scores
 from riskframe.llm.substring_dedup import passage_rows
@@ -31,15 +33,22 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op7_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mixture takes of every document."""
+    return taken(_table(spark, sf_dir, "documents"))
+
+
 def op9_collinear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of all documents, with the document that keeps each."""
     return passage_rows(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "pipeline": corpus_pipeline.run,
     "op2_simhash_decontamination": op2_simhash_decontamination,
     "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op7_hypergeometric_mixing": op7_hypergeometric_mixing,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
 }
 SQL: dict[str, str] = {}
