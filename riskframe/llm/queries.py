@@ -8,16 +8,23 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from riskframe.llm.decontaminate import leaked_items
+from riskframe.llm.knn import top_products
 from riskframe.llm.mixing import taken
 from riskframe.llm.near_dedup import near_duplicates
 from riskframe.llm.quality import quality_scores
 from riskframe.llm.substring_dedup import passage_rows
+from riskframe.llm.url_filter import judged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_url_markov_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Host, path, rule and verdict of every page's url."""
+    return judged(_table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, with the window that matches."""
     return leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -43,12 +50,39 @@ def op9_collinear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame
     return passage_rows(_table(spark, sf_dir, "documents"))
 
 
+def op10_voronoi_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five highest integer inner products of every 50th embedding with all others."""
+    return top_products(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
+    "op1_url_markov_ratio": op1_url_markov_ratio,
     "op2_simhash_decontamination": op2_simhash_decontamination,
     "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_hypergeometric_mixing": op7_hypergeometric_mixing,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
+    "op10_voronoi_top_products": op10_voronoi_top_products,
+}
+
+_TOP_PRODUCTS = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id
+  WHERE q.vec_id % 50 = 0
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5
+"""
+
+SQL: dict[str, str] = {
+    "op10_voronoi_top_products": _TOP_PRODUCTS,
 }
-SQL: dict[str, str] = {}
