@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from riskframe.llm.decontaminate import leaked_items
+from riskframe.llm.html_extract import main_texts
 from riskframe.llm.knn import top_products
 from riskframe.llm.mixing import taken
 from riskframe.llm.near_dedup import near_duplicates
@@ -30,6 +31,11 @@ def op2_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaked_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op3_nearest_url_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return main_texts(_table(spark, sf_dir, "pages"))
+
+
 def op4_sparse_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of all documents, learned from the labels of two folds of three."""
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -59,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_url_markov_ratio": op1_url_markov_ratio,
     "op2_simhash_decontamination": op2_simhash_decontamination,
+    "op3_nearest_url_extraction": op3_nearest_url_extraction,
     "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_hypergeometric_mixing": op7_hypergeometric_mixing,
