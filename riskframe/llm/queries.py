@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from riskframe.llm.decontaminate import leaked_items
 from riskframe.llm.html_extract import main_texts
 from riskframe.llm.knn import top_products
+from riskframe.llm.license_scan import scan
 from riskframe.llm.mixing import taken
 from riskframe.llm.near_dedup import near_duplicates
 from riskframe.llm.quality import quality_scores
@@ -51,6 +53,12 @@ def op7_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return taken(_table(spark, sf_dir, "documents"))
 
 
+def op8_tfidf_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of all documents; a document is a file of its source's and language's directory."""
+    path = F.concat_ws("/", "source", "lang", F.col("doc_id").cast("string"))
+    return scan(_table(spark, sf_dir, "documents"), path=path)
+
+
 def op9_collinear_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of all documents, with the document that keeps each."""
     return passage_rows(_table(spark, sf_dir, "documents"))
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_hypergeometric_mixing": op7_hypergeometric_mixing,
+    "op8_tfidf_license_scan": op8_tfidf_license_scan,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
     "op10_voronoi_top_products": op10_voronoi_top_products,
 }
