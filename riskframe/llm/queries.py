@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from riskframe.llm.class_lm import scores
 from riskframe.llm.decontaminate import leaked_items
 from riskframe.llm.html_extract import main_texts
 from riskframe.llm.knn import top_products
@@ -48,6 +49,11 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op6_brown_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-based log probability of all documents, beside a unigram base."""
+    return scores(_table(spark, sf_dir, "documents"))
+
+
 def op7_hypergeometric_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mixture takes of every document."""
     return taken(_table(spark, sf_dir, "documents"))
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_nearest_url_extraction": op3_nearest_url_extraction,
     "op4_sparse_rule_quality": op4_sparse_rule_quality,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
+    "op6_brown_class_lm": op6_brown_class_lm,
     "op7_hypergeometric_mixing": op7_hypergeometric_mixing,
     "op8_tfidf_license_scan": op8_tfidf_license_scan,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
