@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.llm.graph import small_batches
 from riskframe.llm.text import U64, shingle_hashes, signed, slices, words
 
 SHINGLE = 5
@@ -177,7 +178,7 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     df = each.groupBy("s").agg(F.count_distinct("item").alias("df"))
     weighed = (each.join(df, "s").groupBy("item", "version", "n_words")
                .agg(F.sort_array(F.collect_list(F.struct("s", "df"))).alias("x")))
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.lower(text_col).alias("text")).filter("id is not null")
+    base = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.lower(text_col).alias("text")).filter("id is not null")
     passes = max(1, math.ceil(n / ITEMS_PER_PASS))
     found = None
     for k in range(passes):

@@ -8,6 +8,21 @@ from pyspark.sql import functions as F
 from riskframe.session import ensure_checkpoint_dir, shared_path
 
 
+BATCH_BYTES = 8 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Bound the Arrow batches of this session to ``BATCH_BYTES`` (Spark's default is 64
+    MB, held by the JVM and by the worker at once); a smaller setting stays. Returns ``df``."""
+    conf = df.sparkSession.conf
+    now = str(conf.get(_BATCH, "64m")).lower().rstrip("b")
+    unit = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(now[-1:], 1)
+    if int(now.rstrip("kmg") or 0) * unit > BATCH_BYTES:
+        conf.set(_BATCH, str(BATCH_BYTES))
+    return df
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here,
     and a lost executor costs no recomputation of what came before."""

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved
+from riskframe.llm.graph import saved, small_batches
 
 PIVOTS = 64
 CHUNK = 4096
@@ -87,7 +87,7 @@ def top_products(vectors: DataFrame, k: int = 5, query_every: int = 50, id_col:
     are not looked at; an empty table gives no rows.
     """
     spark = vectors.sparkSession
-    data = quantised(vectors, id_col, vector_col, scale)
+    data = quantised(small_batches(vectors), id_col, vector_col, scale)
     dim = data.agg(F.max(F.size("v"))).first()[0] or 1
     picked = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(PIVOTS).collect()
     seeds = sorted({tuple(r["v"]) + (0,) * (dim - len(r["v"])) for r in picked}) or [(0,) * dim]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved
+from riskframe.llm.graph import saved, small_batches
 from riskframe.llm.text import U64, mix, slices, words
 
 HEADER = 0.7
@@ -155,7 +155,7 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     """
     spark = files.sparkSession
     t = Templates(templates)
-    base = files.select(F.col(id_col).cast("bigint").alias("id"), (path if path is not None else F.col("path")).alias("path"),
+    base = small_batches(files).select(F.col(id_col).cast("bigint").alias("id"), (path if path is not None else F.col("path")).alias("path"),
                         F.col(text_col).alias("text"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import components, saved
+from riskframe.llm.graph import components, saved, small_batches
 from riskframe.llm.text import STEP, U64, mix, seeds, shingle_set, signed, slices, words
 
 SHINGLE = 5
@@ -204,7 +204,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     the links of all its texts; each keeps its own n_shingles. Other columns
     of ``docs`` are not looked at, whatever their names.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
+    base = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sk = saved(base.mapInArrow(_sketch_batches, _SKETCHES), "sketches")
     sets = sk.filter("id is not null and n_shingles > 0")
 

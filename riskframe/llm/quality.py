@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved
+from riskframe.llm.graph import saved, small_batches
 from riskframe.llm.text import shingle_hashes, slices, words
 
 SAMPLE = 20_000   # labelled documents used for fitting, at most; scoring and statistics cover all
@@ -182,7 +182,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, use: Column | None = None,
     """
     marks = (labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1)).groupBy(F.col(id_col).alias("key"))
              .agg(F.max(label_col).cast("double").alias("label")))
-    own = docs.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).filter("key is not null")
+    own = small_batches(docs).select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).filter("key is not null")
     if use is not None:
         own = own.filter(use)
     stats = own.select("key", statistics_column("text").alias("stats"))

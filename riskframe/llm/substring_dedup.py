@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved
+from riskframe.llm.graph import saved, small_batches
 from riskframe.llm.text import shingle_hashes, signed, slices, words
 
 KMER = 8
@@ -301,7 +301,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     one id, are left alone. ``version`` (a hash of the text) tells apart
     different texts under one id. Other columns are not looked at.
     """
-    base = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
+    base = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("version")).filter("id is not null")
     seeds = base.mapInArrow(_seed_batches, _SEEDS)
     anchors = (seeds.groupBy("seed", "nth")

@@ -40,23 +40,24 @@ _BREAK = _SPACE.copy()  # the same, with ASCII punctuation
 _BREAK[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = True
 _VALUE = seeds(256, 1000)
 _VALUE[0x41:0x5B] = _VALUE[0x61:0x7B]
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS = (np.ones(1, U64), np.ones(1, U64))
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n - 1).bit_length())
-    if size not in _POWERS:
-        if size <= 8 * SLICE_BYTES:
-            _POWERS.clear()
-        out = []
-        for base in (_BASE, _INVERSE):
-            p = np.full(size, base, U64)
-            p[0] = 1
-            out.append(np.cumprod(p))
-        if size > 8 * SLICE_BYTES:  # one very long text: not kept
-            return out[0], out[1]
-        _POWERS[size] = (out[0], out[1])
-    return _POWERS[size]
+    """At least n powers of the base and of its inverse; the tables grow and are kept,
+    but for those of a very long text."""
+    global _POWERS
+    if n <= len(_POWERS[0]):
+        return _POWERS
+    size = 1 << int(n - 1).bit_length()
+    out = []
+    for base in (_BASE, _INVERSE):
+        p = np.full(size, base, U64)
+        p[0] = 1
+        out.append(np.cumprod(p))
+    if size <= 4 * SLICE_BYTES:
+        _POWERS = (out[0], out[1])
+    return out[0], out[1]
 
 
 @dataclass
