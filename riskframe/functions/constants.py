@@ -37,3 +37,6 @@ UNDETERMINED = "undetermined"
 CONCLUSION_POSITIVE = "positive (at risk)"
 CONCLUSION_NEGATIVE = "negative (no risk found)"
 SPLIT_NAMES = ("train", "val", "test")
+
+# name of the assembled feature vector inside a pipeline
+FEATURES_VEC = "features"

@@ -34,13 +34,19 @@ def code_map(c: Column, mapping: Mapping[str, int]) -> Column:
     return F.create_map(*pairs)[c.cast("string")].cast("int")
 
 
+def present(c: Column) -> Column:
+    """As double, with NaN as null: both mean "missing"."""
+    x = c.cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def logistic(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
 def threshold_label(p: Column, threshold: float = DECISION_THRESHOLD) -> Column:
-    """1 if p >= threshold else 0; null stays null."""
-    return (p >= F.lit(threshold)).cast("int")
+    """1 if p >= threshold else 0; null for a missing probability (null or NaN)."""
+    return (present(p) >= F.lit(threshold)).cast("int")
 
 
 def conclusion(label: Column, positive: str = CONCLUSION_POSITIVE,
@@ -87,11 +93,11 @@ def sig(c: Column, digits: int = 10) -> Column:
 
 
 def pearson(a: Column, b: Column) -> Column:
-    """Aggregate: Pearson r over rows where both are non-null, null when
+    """Aggregate: Pearson r over rows where neither is missing, null when
     either side has zero variance or fewer than two rows. (Built-in
     ``corr`` raises DIVIDE_BY_ZERO on a constant column under ANSI mode.)
     Same central moments as ``corr``, so the values agree."""
-    x, y = a.cast("double"), b.cast("double")
+    x, y = present(a), present(b)
     both = x.isNotNull() & y.isNotNull()
     vx = F.var_pop(F.when(both, x))
     vy = F.var_pop(F.when(both, y))

@@ -16,24 +16,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.constants import DECISION_THRESHOLD
-from ..functions.expressions import col, r6, ratio, sql_string
-from ..sources.tables import spread
+from ..functions.expressions import col, present, r6, ratio, sql_string
 from .ordered import DEFAULT_BUCKETS, ordered_prefix
 
 
 def long_scores(df: DataFrame, scores: Mapping[str, Column], label: Column) -> DataFrame:
     """Stack per-model probability columns into ``(model, label, score)``
-    so one job evaluates all models. Rows with a null label or score are
-    left out (the reference's metrics reject them)."""
+    so one job evaluates all models. A row that cannot be evaluated (label
+    other than 0 and 1, missing score) fails the job, as the reference's
+    metrics do: figures never cover part of the rows unsaid. Filter such
+    rows first where that is meant."""
     names = list(scores)
-    wide = spread(df.select(label.cast("int").alias("label"),
+    wide = (df.select(label.cast("int").alias("label"),
                             *[s.cast("double").alias(f"_s{i}")
                               for i, s in enumerate(scores.values())]))
     args = ", ".join(f"{sql_string(n)}, _s{i}" for i, n in enumerate(names))
-    return (wide.selectExpr("label", f"stack({len(names)}, {args}) AS (model, score)")
-            .where(F.col("label").isin(0, 1) & F.col("score").isNotNull()
-                   & ~F.isnan("score"))
-            .select("model", "label", "score"))
+    long = wide.selectExpr("label", f"stack({len(names)}, {args}) AS (model, score)")
+    good = F.col("label").isin(0, 1) & present(F.col("score")).isNotNull()
+    refuse = F.raise_error(F.lit("a row without a 0/1 label or without a score cannot be evaluated"))
+    return long.select("model", F.when(F.coalesce(good, F.lit(False)), F.col("label")).otherwise(refuse.cast("int")).alias("label"), "score")
 
 
 def confusion_counts(long: DataFrame, threshold: float = DECISION_THRESHOLD) -> DataFrame:

@@ -27,68 +27,40 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import col
 
-MAX_GROUPS = 1024
+WIDTH = 1500.0  # distance of two groups on the common axis of ``_squash``
 DEFAULT_BUCKETS = 256
 MAX_BUCKETS = 65_536
 ROWS_PER_RANGE = 2_000_000
-# groups up to this size are sorted whole, in one task each
-SINGLE_TASK_ROWS = ROWS_PER_RANGE
 # below this many (group, range) rows the offsets table is broadcast
 BROADCAST_ROWS = 200_000
 
 
 def _squash(x):
-    """Monotone map of the extended reals into [-1, 1] (infinities to the ends)."""
+    """Monotone map of the extended reals into [-711, 711] that keeps relative
+    differences apart at any magnitude (infinities to the ends)."""
     inf = float("inf")
-    return (F.when(x == F.lit(inf), F.lit(1.0)).when(x == F.lit(-inf), F.lit(-1.0))
-            .otherwise(x / (F.lit(1.0) + F.abs(x))))
-
-
-def _plain_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
-                  with_previous: bool) -> DataFrame:
-    w = Window.partitionBy(group_col).orderBy(col(order_col))
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    out = {}
-    for v in value_cols:
-        out[f"{v}_below"] = F.coalesce(F.sum(col(v)).over(before), F.lit(0))
-        if with_previous:
-            out[f"prev_{v}"] = F.lag(col(v)).over(w)
-    return df.withColumns(out)
+    return (F.when(x == F.lit(inf), F.lit(711.0)).when(x == F.lit(-inf), F.lit(-711.0))
+            .otherwise(F.signum(x) * F.log1p(F.abs(x))))
 
 
 def ordered_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Sequence[str],
-                   buckets: int = DEFAULT_BUCKETS, with_previous: bool = False,
-                   single_task_rows: int | None = None,
-                   max_group_rows: int | None = None) -> DataFrame:
+                   buckets: int = DEFAULT_BUCKETS, with_previous: bool = False) -> DataFrame:
     """Add ``<v>_below`` = sum of ``v`` over rows of the same group with a
     smaller ``order_col`` (exclusive prefix), for each ``v`` in
     ``value_cols``. With ``with_previous``, also ``prev_<v>`` = ``v`` of the
     row just below in the same group (null for the lowest).
 
-    ``order_col`` must be a finite, non-null double; (group, order) unique.
-    Groups of at most ``single_task_rows`` rows (default ``SINGLE_TASK_ROWS``)
-    use one window per group; larger ones are split into ranges. A caller
-    that already knows an upper bound of the group sizes passes it as
-    ``max_group_rows`` and saves the sizing job.
+    ``order_col`` must be a non-null double; (group, order) unique. The
+    groups (features, models) are a bounded number; their sizes are not.
     """
-    if single_task_rows is None:
-        single_task_rows = SINGLE_TASK_ROWS
-    if max_group_rows is not None and max_group_rows <= single_task_rows:
-        return _plain_prefix(df, group_col, order_col, value_cols, with_previous)
     squashed = _squash(col(order_col).cast("double"))
-    sizes = (df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n"))
-             .limit(MAX_GROUPS + 1).collect())
-    if len(sizes) > MAX_GROUPS:
-        raise ValueError(f"ordered_prefix takes at most {MAX_GROUPS} groups")
+    sizes = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n")).collect()  # a row a group
     largest = max((r["n"] for r in sizes), default=0)
-    if largest <= single_task_rows:
-        # every group is small enough to sort in one task: plain windows
-        return _plain_prefix(df, group_col, order_col, value_cols, with_previous)
 
     # finer ranges as groups grow, so each task sorts about ROWS_PER_RANGE
     # rows (edges reach the driver: keep groups x ranges under 4M doubles)
     b = max(buckets or DEFAULT_BUCKETS,
-            min(MAX_BUCKETS, 4_000_000 // len(sizes), -(-largest // ROWS_PER_RANGE)))
+            min(MAX_BUCKETS, 4_000_000 // max(len(sizes), 1), -(-largest // ROWS_PER_RANGE)))
     probs = [i / b for i in range(1, b)]
     rows = (df.groupBy(group_col)
             .agg(F.percentile_approx(squashed, probs, max(10_000, 8 * b)).alias("e"))
@@ -98,11 +70,11 @@ def ordered_prefix(df: DataFrame, group_col: str, order_col: str, value_cols: Se
     pairs, edges = [], set()
     for i, r in enumerate(rows):
         pairs += [F.lit(r[0]), F.lit(float(i))]
-        edges.update(i * 4.0 + e for e in (r[1] or []) if e is not None)
+        edges.update(i * WIDTH + e for e in (r[1] or []) if e is not None)
     gidx = F.create_map(*pairs)[col(group_col)] if pairs else F.lit(0.0)
     # (group, order) -> one double that sorts the same way; rounding only
     # merges near-equal keys into one range, which keeps the sums exact
-    keyed = df.withColumn("_t", gidx * F.lit(4.0) + squashed)
+    keyed = df.withColumn("_t", gidx * F.lit(WIDTH) + squashed)
     groups = rows
     splits = [float("-inf")] + sorted(edges) + [float("inf")]
     if len(splits) < 3:

@@ -17,12 +17,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expressions import col, pearson, sql_string
+from ..functions.expressions import col, pearson, present, sql_string
 from ..session import ensure_checkpoint_dir
-from ..sources.tables import spread
 from .ordered import ordered_prefix
 
-MAX_CATEGORY_VALUES = 10_000
 
 
 def _stack(df: DataFrame, columns: Sequence[str], as_type: str, extra: Sequence[str] = ()
@@ -46,7 +44,7 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
     one task); the per-column totals from the moments place the positions."""
     aggs = []
     for i, c in enumerate(columns):
-        x = col(c).cast("double")
+        x = present(col(c))
         aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNull()).alias(f"z{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}"),
                  F.avg(x).alias(f"m{i}"), F.stddev_samp(x).alias(f"s{i}")]
@@ -62,12 +60,10 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
         pairs += [F.lit(c), F.lit(int(m[f"n{i}"]))]
     total = F.create_map(*pairs)[F.col("feature")]
 
-    src = spread(df.select(*[col(c) for c in columns]))
-    counts = (_stack(src, columns, "DOUBLE").where(F.col("value").isNotNull())
+    src = df.select(*[col(c) for c in columns])
+    counts = (_stack(src, columns, "DOUBLE").where(present(F.col("value")).isNotNull())
               .groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    # a column's distinct values are at most its non-null count
-    bound = max([int(m[f"n{i}"]) for i in range(len(columns))], default=0)
-    pre = ordered_prefix(counts, "feature", "value", ["cnt"], max_group_rows=bound)
+    pre = ordered_prefix(counts, "feature", "value", ["cnt"])
     qaggs = [F.count(F.lit(1)).alias("n_distinct")]
     for j, q in enumerate(quantiles):
         h = (total - 1) * F.lit(float(q))
@@ -87,12 +83,11 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
 def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """F1 per class: rows, share of all rows, and each feature's mean, in
     long form ``(label_value, n, share, feature, mean)``. One aggregate
-    grouped by class; the share comes from a window over the class rows."""
-    from pyspark.sql import Window
-    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(col(c).cast("double")).alias(f"m{i}")
+    grouped by class; the share is of the row count. Missing values (null, NaN) are left out of the means."""
+    aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(present(col(c))).alias(f"m{i}")
                                              for i, c in enumerate(columns)]
     per = df.groupBy(col(label).alias("label_value")).agg(*aggs)
-    per = per.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    per = per.withColumn("share", F.col("n") / F.lit(df.count()))
     parts = ", ".join(f"{sql_string(c)}, m{i}" for i, c in enumerate(columns))
     return per.selectExpr("label_value", "n", "share",
                           f"stack({len(columns)}, {parts}) AS (feature, mean)")
@@ -100,53 +95,47 @@ def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFram
 
 # --- F2, F3, F7 ---------------------------------------------------------------------
 
-# k(k+1)/2 corr buffers in one generated plan: fine up to about this k
-WIDE_CORRELATION = 60
-
-
-def correlation_pairs(df: DataFrame, columns: Sequence[str],
-                      wide_at: int = WIDE_CORRELATION) -> DataFrame:
-    """Pearson r for all pairs x <= y, long form ``(x, y, r)``.
-
-    Up to ``wide_at`` columns: all pairs in one aggregate (pairwise
-    complete). Wider: ``pyspark.ml.stat.Correlation`` on an assembled vector,
-    one tree-aggregate pass to a k x k matrix (complete rows only; rows with
-    a null are skipped). Zero variance gives null in both."""
-    if len(columns) > wide_at:
-        return _correlation_pairs_wide(df, columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    aggs = [pearson(col(a), col(b)).alias(f"r{i}")
-            for i, (a, b) in enumerate(pairs)]
-    parts = ", ".join(f"{sql_string(a)}, {sql_string(b)}, r{i}" for i, (a, b) in enumerate(pairs))
-    return df.agg(*aggs).selectExpr(f"stack({len(pairs)}, {parts}) AS (x, y, r)")
-
-
-def _correlation_pairs_wide(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
+def _pair_sums(columns: int):
+    """Task function: sums over the rows where both of a pair are present, for all
+    pairs at once, as matrix products of the values and their presence."""
+    def run(batches):
+        import pyarrow as pa
+        total = np.zeros((6, columns, columns))
+        for batch in batches:
+            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]).astype(float)
+            here = (~np.isnan(x)).astype(float)
+            x = np.where(here > 0, x, 0.0)
+            total += [here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x]
+        i, j = np.triu_indices(columns)
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t[i, j]) for t in total]],
+                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
+    return run
+
+
+def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson r for all pairs x <= y, long form ``(x, y, r)``, over the
+    rows where both are present (null and NaN are missing), whatever the
+    number of columns. Zero variance or fewer than two rows give null.
+
+    One pass: a task adds up k x k matrices (values are moved by each
+    column's minimum first, so constant columns are exactly zero and large
+    offsets do not cancel), and k (k + 1) / 2 rows a task are summed."""
     names = [f"_c{i}" for i in range(len(columns))]
-    data = df.select(*[col(c).cast("double").alias(n) for c, n in zip(columns, names)])
-    vec = VectorAssembler(inputCols=names, outputCol="_v", handleInvalid="skip").transform(data)
-    try:
-        m = Correlation.corr(vec.select("_v"), "_v").first()[0].toArray()  # k x k, bounded
-    except Exception:
-        if not vec.isEmpty():
-            raise
-        m = np.full((len(columns), len(columns)), np.nan)  # no complete row: all null
-    # Correlation puts 1.0 on the diagonal of a constant column too; make it
-    # null as the one-aggregate path does. A column with a finite partner
-    # varies; one without varies only if no column has a partner, which a
-    # min = max check over the complete rows settles (degenerate case only).
-    finite = ~np.isnan(m)
-    np.fill_diagonal(finite, False)
-    varies = finite.any(axis=1)
-    if not varies.any():
-        r = data.dropna().agg(*[(F.min(n) < F.max(n)).alias(n) for n in names]).first()
-        varies = np.array([bool(r[n]) for n in names])
-    m[np.diag_indices_from(m)] = np.where(varies, 1.0, np.nan)
-    rows = [(a, b, None if np.isnan(m[i, j]) else float(m[i, j]))
-            for i, a in enumerate(columns) for j, b in enumerate(columns) if j >= i]
-    return df.sparkSession.createDataFrame(rows, "x string, y string, r double")
+    data = df.select(*[present(col(c)).alias(n) for c, n in zip(columns, names)])
+    low = data.agg(*[F.min(n).alias(n) for n in names]).first()
+    moved = data.select(*[(F.col(n) - F.lit(low[n] if low[n] is not None else 0.0)).alias(n) for n in names])
+    schema = "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
+    none = df.sparkSession.createDataFrame(  # a table without partitions has its pairs too
+        [(i, j, *[0.0] * 6) for i in range(len(names)) for j in range(i, len(names))], schema)
+    sums = (moved.mapInArrow(_pair_sums(len(names)), schema).unionByName(none)
+            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
+    n = F.col("n")
+    # a variance below rounding noise of its sums is a constant column
+    var = lambda s, ss: F.when(n * F.col(ss) - F.col(s) * F.col(s) > 1e-12 * n * F.col(ss), n * F.col(ss) - F.col(s) * F.col(s))
+    r = F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var("sx", "sxx")) * F.sqrt(var("sy", "syy")))
+    name = F.array(*[F.lit(c) for c in columns])
+    return sums.select(F.element_at(name, (F.col("i") + 1).cast("int")).alias("x"),
+                       F.element_at(name, (F.col("j") + 1).cast("int")).alias("y"), r.alias("r"))
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
@@ -195,7 +184,7 @@ def contingency_counts(df: DataFrame, label: Column, columns: Sequence[str],
     (margins, chi-square, MI), so by default it is cut from its lineage with
     a reliable ``checkpoint()`` into the shared checkpoint folder: one scan
     of the data, and a lost executor does not send the job back to it."""
-    base = spread(df.select(label.cast("string").alias("_label"), *[col(c) for c in columns]))
+    base = df.select(label.cast("string").alias("_label"), *[col(c) for c in columns])
     counts = (_stack(base, columns, "STRING", extra=["_label"])
               .where(F.col("value").isNotNull() & F.col("_label").isNotNull())
               .groupBy("feature", "value", F.col("_label").alias("label"))
@@ -216,7 +205,7 @@ def _margins(counts: DataFrame) -> DataFrame:
             .join(tot, "feature"))
 
 
-def contingency_scores(counts: DataFrame, max_values: int = MAX_CATEGORY_VALUES) -> DataFrame:
+def contingency_scores(counts: DataFrame) -> DataFrame:
     """F5 + F6 from one margins pass: ``(feature, chi2, dof, mutual_info)``."""
     m = _margins(counts)
     n, total = F.col("n").cast("double"), F.col("total").cast("double")
@@ -224,26 +213,22 @@ def contingency_scores(counts: DataFrame, max_values: int = MAX_CATEGORY_VALUES)
     out = m.groupBy("feature").agg(
         (F.first("total") * (F.sum(n * n / rc) - 1.0)).alias("chi2"),
         ((F.first("n_values") - 1) * (F.first("n_labels") - 1)).cast("long").alias("dof"),
-        F.sum((n / total) * F.log(n * total / rc)).alias("mutual_info"),
-        F.first("n_values").alias("_nv"))
-    return out.select("feature", F.when(F.col("_nv") <= max_values, F.col("chi2")).alias("chi2"),
-                      "dof", "mutual_info")
+        F.sum((n / total) * F.log(n * total / rc)).alias("mutual_info"))
+    return out.select("feature", "chi2", "dof", "mutual_info")
 
 
-def chi_square(counts: DataFrame, max_values: int = MAX_CATEGORY_VALUES) -> DataFrame:
+def chi_square(counts: DataFrame) -> DataFrame:
     """contingency chi-square per feature,
     chi2 = N * (sum over observed cells of o^2 / (row * col) - 1),
-    which needs no zero cells; dof = (values - 1) * (labels - 1). Features
-    with more than ``max_values`` values are refused (bin them first)."""
+    which needs no zero cells; dof = (values - 1) * (labels - 1), for any
+    number of values."""
     m = _margins(counts)
     out = m.groupBy("feature").agg(
         (F.first("total") * (F.sum(F.col("n").cast("double") * F.col("n")
                                    / (F.col("r").cast("double") * F.col("c"))) - 1.0))
         .alias("chi2"),
-        ((F.first("n_values") - 1) * (F.first("n_labels") - 1)).cast("long").alias("dof"),
-        F.first("n_values").alias("_nv"))
-    return out.select("feature", F.when(F.col("_nv") <= max_values, F.col("chi2")).alias("chi2"),
-                      "dof")
+        ((F.first("n_values") - 1) * (F.first("n_labels") - 1)).cast("long").alias("dof"))
+    return out.select("feature", "chi2", "dof")
 
 
 def mutual_information(counts: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.constants import NUMERIC_COLUMNS
-from ..functions.expressions import col
+from ..functions.expressions import col, present
 
 
 def check_columns(df: DataFrame, columns: Sequence[str]) -> None:
@@ -42,7 +42,7 @@ class _ScalerParams(HasInputCols, HasOutputCols):
 
 class PopulationStandardScaler(Estimator, _ScalerParams, DefaultParamsReadable,
                                DefaultParamsWritable):
-    """(x - mean) / population std; nulls ignored in the fit and kept;
+    """(x - mean) / population std; missing values (null, NaN) are ignored in the fit and null after it;
     zero variance divides by 1 (so a constant column becomes 0)."""
 
     @keyword_only
@@ -55,7 +55,7 @@ class PopulationStandardScaler(Estimator, _ScalerParams, DefaultParamsReadable,
         check_columns(dataset, cols)
         aggs = []
         for i, c in enumerate(cols):
-            x = col(c).cast("double")
+            x = present(col(c))
             aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}")]
         row = dataset.agg(*aggs).first()   # one row, bounded by len(cols)
         means = [row[f"m{i}"] for i in range(len(cols))]
@@ -82,7 +82,7 @@ class PopulationStandardScalerModel(Model, _ScalerParams, DefaultParamsReadable,
                 out[dst] = F.lit(None).cast("double")
                 continue
             divisor = s if (s == s and s > 0.0) else 1.0
-            out[dst] = (col(src).cast("double") - F.lit(m)) / F.lit(divisor)
+            out[dst] = (present(col(src)) - F.lit(m)) / F.lit(divisor)
         return out
 
     def _transform(self, dataset: DataFrame) -> DataFrame:

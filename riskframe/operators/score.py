@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.constants import (DECISION_THRESHOLD, DISPLAY_DECIMALS,
+from ..functions.constants import (DECISION_THRESHOLD, DISPLAY_DECIMALS, FEATURES_VEC,
                                    LABEL_COLUMN, RISK_TIERS, UNDETERMINED)
 from ..functions.expressions import (col, conclusion, display_round, logistic,
-                                     threshold_label, tier)
+                                     present, threshold_label, tier)
 
 SCORE_COLUMNS = ("probability", "pred_label", "conclusion", "risk_tier")
 TRUTH_COLUMNS = ("true_label", "correct")
@@ -77,7 +77,9 @@ def score_columns(p: Column, label: Column | None = None,
     """P10-P14 as named expressions over an exact probability ``p``.
 
     The label and the row tier always use the unrounded value; only the
-    displayed probability is rounded."""
+    displayed probability is rounded. A missing probability (null or NaN)
+    has no label, conclusion or correctness, and the undetermined tier."""
+    p = present(p)
     pred = threshold_label(p, threshold)
     out = {
         "probability": display_round(p, decimals),
@@ -108,6 +110,10 @@ def score_frame(model: Transformer, df: DataFrame, label_col: str = LABEL_COLUMN
     base = df.withColumnRenamed(label_col, hidden) if has_label else df
     scored = model.transform(base)
     p = positive_probability(scored)
+    if FEATURES_VEC in scored.columns and FEATURES_VEC not in df.columns:
+        # a row with a missing feature is not scored, whatever the model makes of NaN
+        missing = F.exists(vector_to_array(col(FEATURES_VEC)), F.isnan)
+        p = F.when(~missing, p)
     exprs = score_columns(p, F.col(hidden) if has_label else None, threshold, tiers)
     select = [col(c) for c in keep_cols] + [col(c) for c in features]
     select += [e.alias(n) for n, e in exprs.items()]

@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from ..functions.constants import SPLIT_NAMES, SPLIT_PERCENT, SPLIT_SEED
 from ..functions.expressions import col
 
-MAX_STRATA = 10_000
 HEX_DIGITS = 5
 
 
@@ -58,17 +57,12 @@ def stratified_split(df: DataFrame, key: str, strata: str, seed: int = SPLIT_SEE
         F.min_by(F.struct("_b", "_lo"), F.when(F.col("_hi") > F.col("_c2"), F.col("_b")))
         .alias("_e2"),
         F.first("_c1").alias("_c1"), F.first("_c2").alias("_c2"))
-    rows = cuts.limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"more than {MAX_STRATA} strata")
-    inf = 1 << 62
-    table = [(r["_s"], r["_e1"]["_b"] if r["_e1"] else inf, r["_e1"]["_lo"] if r["_e1"] else 0,
-              r["_e2"]["_b"] if r["_e2"] else inf, r["_e2"]["_lo"] if r["_e2"] else 0,
-              r["_c1"], r["_c2"]) for r in rows]
-    stype = df.schema[strata].dataType.simpleString()
-    cut_df = df.sparkSession.createDataFrame(
-        table, f"_s {stype}, _e1 long, _lo1 long, _e2 long, _lo2 long, _c1 long, _c2 long")
-    j = base.join(F.broadcast(cut_df), base["_s"].eqNullSafe(cut_df["_s"])).drop(cut_df["_s"])
+    inf = F.lit(1 << 62)
+    # one row a class, joined: its number needs no limit, and a small one is broadcast at run time
+    cut_df = cuts.select(
+        F.col("_s").alias("_cs"), F.coalesce("_e1._b", inf).alias("_e1"), F.coalesce("_e1._lo", F.lit(0)).alias("_lo1"),
+        F.coalesce("_e2._b", inf).alias("_e2"), F.coalesce("_e2._lo", F.lit(0)).alias("_lo2"), "_c1", "_c2")
+    j = base.join(cut_df, F.col("_s").eqNullSafe(F.col("_cs"))).drop("_cs")
 
     train, val, test = SPLIT_NAMES
     on_cut = (F.col("_b") == F.col("_e1")) | (F.col("_b") == F.col("_e2"))
@@ -91,31 +85,23 @@ def training_rows(split_df: DataFrame, split_col: str = "split") -> DataFrame:
 
 
 def class_weights(df: DataFrame, label_col: str) -> DataFrame:
-    """Balanced weights n / (k * n_c) per class: ``(label, n, weight)``.
-    One aggregate; the class table has k rows."""
-    per = df.groupBy(col(label_col).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy()
-    return per.select("label", "n", (F.sum("n").over(w) / (F.count(F.lit(1)).over(w) * F.col("n")))
-                      .alias("weight"))
+    """Balanced weights n / (k * n_c) per class: ``(label, n, weight)``
+    over the labelled rows; null labels are no class. One aggregate; the
+    two totals are numbers on the driver."""
+    per = (df.where(col(label_col).isNotNull()).groupBy(col(label_col).alias("label"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    rows, classes = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    return per.select("label", "n", (F.lit(rows) / (F.lit(classes) * F.col("n"))).alias("weight"))
 
 
 def with_weights(df: DataFrame, label_col: str, weight_col: str = "weight",
                  with_rows: bool = False):
     """Attach the weight column; also returns the weight total (for the
-    regularisation scale of T5), and with ``with_rows`` the row count. The
-    k-row weight table is collected."""
-    rows = class_weights(df, label_col).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError("too many classes for balanced weights")
-    pairs = []
-    total = 0.0
-    n_rows = 0
-    for r in rows:
-        n_rows += r["n"]
-        if r["label"] is None:
-            continue
-        pairs += [F.lit(r["label"]), F.lit(float(r["weight"]))]
-        total += r["weight"] * r["n"]
-    wmap = F.create_map(*pairs)
-    out = df.withColumn(weight_col, wmap[col(label_col)])
+    regularisation scale of T5), and with ``with_rows`` the row count. Rows
+    without label get a null weight."""
+    weights = class_weights(df, label_col)
+    row = weights.agg(F.sum(F.col("weight") * F.col("n")).alias("w"), F.sum("n").alias("n")).first()
+    total, n_rows = float(row["w"] or 0.0), int(row["n"] or 0)
+    out = (df.join(weights.select(F.col("label").alias("_wl"), F.col("weight").alias(weight_col)),
+                   col(label_col) == F.col("_wl"), "left").drop("_wl"))
     return (out, total, n_rows) if with_rows else (out, total)

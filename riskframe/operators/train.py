@@ -20,18 +20,20 @@ from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from ..functions.constants import FEATURES_VEC
+from ..functions.expressions import col, present
 from ..sources.tables import path_exists
 from .scale import PopulationStandardScaler
 from .split import with_weights
 
 # bytes of assembled training data per partition: every estimator pass runs
 # one task per partition, so tiny sets get one partition and large ones many
-TRAIN_PARTITION_BYTES = 32 << 20
+TRAIN_PARTITION_BYTES = 4 << 20
 LABEL = "label"
 WEIGHT = "weight"
-FEATURES_VEC = "features"
 # registered models fitted at the same time (as CrossValidator's parallelism)
 FIT_PARALLELISM = 5
 
@@ -99,16 +101,20 @@ def build_pipeline(key: str, features: Sequence[str], weight_total: float, seed:
 
 def prepare_training(train: DataFrame, features: Sequence[str], label_col: str) -> tuple[DataFrame, float]:
     """T3 + T10: label as double, balanced weights, partitioned by size and
-    cached once for all models (every estimator iterates over it)."""
-    data = train.select(*features, train[label_col].cast("double").alias(LABEL))
+    cached once for all models (every estimator iterates over it).
+
+    Missing features (null or NaN) are refused with their counts per column;
+    rows without label are left out. The hash layout depends on the rows
+    only, so seeded fits do not change with the input's files."""
+    data = train.select(*features, train[label_col].cast("double").alias(LABEL)).where(F.col(LABEL).isNotNull())
+    gaps = data.agg(*[F.count_if(present(col(c)).isNull()).alias(f"n{i}") for i, c in enumerate(features)]).first()
+    missing = {c: gaps[f"n{i}"] for i, c in enumerate(features) if gaps[f"n{i}"]}
+    if missing:
+        raise ValueError(f"features with missing values, impute or drop them first: {missing}")
     data, total, rows = with_weights(data, LABEL, WEIGHT, with_rows=True)
     width = 8 * (len(features) + 2)
     target = max(1, -(-rows * width // TRAIN_PARTITION_BYTES))
-    current = data.rdd.getNumPartitions()
-    if target < current:
-        data = data.coalesce(target)
-    elif target > current:
-        data = data.repartition(target)
+    data = data.repartition(target, *[col(c) for c in features]).sortWithinPartitions(*[col(c) for c in features])
     return data.persist(StorageLevel.MEMORY_AND_DISK), total
 
 

@@ -66,14 +66,14 @@ def f2_correlation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(PR.correlation_pairs(li, [*MEASURES, "is_returned"]), "r")
 
 
-EMBEDDING_DIM = 64
-
-
 def f2_correlation_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F2 past the width of one aggregate: all 2080 pairs of the 64
-    embedding dimensions (the ``Correlation`` path)."""
+    """F2 over many columns: all pairs of the embedding dimensions. The size
+    is the data's; vectors of different sizes are refused."""
     emb = read_table(spark, sf_dir, "embeddings")
-    dims = [F.col("embedding")[i].alias(f"e{i:02d}") for i in range(EMBEDDING_DIM)]
+    low, size = emb.agg(F.min(F.size("embedding")), F.max(F.size("embedding"))).first()
+    if low != size:
+        raise ValueError(f"vectors of {low} to {size} dimensions")
+    dims = [F.col("embedding")[i].alias(f"e{i:02d}") for i in range(size or 0)]
     wide = emb.select(*dims)
     return _r6(PR.correlation_pairs(wide, wide.columns), "r")
 

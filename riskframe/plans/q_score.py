@@ -58,7 +58,7 @@ def k1_score_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..session import shared_path
     from ..streaming.scoring import scored_stream, start_scoring
     schema = read_table(spark, sf_dir, "events").schema
-    stream = scored_stream(spark, event_scorer(), sf_dir, schema, glob="events.parquet",
+    stream = scored_stream(spark, event_scorer(), f"{sf_dir.rstrip('/')}/[e]vents.parquet", schema,
                            label_col="label", feature_cols=["value"], keep_cols=["event_id"],
                            prepare=_label_events)
     sink = shared_path(spark, "scored-events-stream")

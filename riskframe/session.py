@@ -7,6 +7,7 @@ its settings. ``local_session`` exists for tests and the bench.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -40,8 +41,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only when nothing is set (local tests)
-    is a private folder created and registered.
+    The cluster's setting always wins. Without one, a private folder is made
+    for a local master (tests); elsewhere executors would write to their own
+    disks, so that is refused.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -49,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get(CHECKPOINT_CONF, None) or sc.getConf().get(CHECKPOINT_CONF, None)
     if not conf:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that driver and executors share")
         conf = tempfile.mkdtemp(prefix="riskframe-ckpt-")
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

@@ -5,6 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 import __spark_entry__ as E  # noqa: E402
+from riskframe.plans import catalog  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"t5_logistic", "t6_random_forest", "t7_boosted_deep", "t8_boosted_shallow", "t9_mlp",
@@ -27,7 +28,7 @@ def _plan(df):
         df._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SLOW))
 def test_plans_have_no_python_or_cartesian(spark, name):
     df = E.queries()[name](spark, SF)
     plan = _plan(df)

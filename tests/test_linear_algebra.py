@@ -114,27 +114,30 @@ def test_pca_matches_numpy_eigendecomposition(spark):
         assert [r["pc1"], r["pc2"]] == pytest.approx(list(want[r["vec_id"]]), abs=1e-6)
 
 
-def test_wide_correlation_path_equals_one_aggregate(spark):
-    df = _lineitem(spark).withColumn("const", F.lit(3.0))
-    cols = ["l_quantity", "l_extendedprice", "l_tax", "net_qty", "const"]
-    narrow = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols).collect()}
-    wide = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols, wide_at=2).collect()}
-    assert narrow.keys() == wide.keys() and len(wide) == 15
-    for key, r in narrow.items():
-        if "const" in key:
-            assert r is None and wide[key] is None
+def test_correlation_is_pairwise_complete_for_any_number_of_columns(spark):
+    df = _lineitem(spark).withColumns({
+        "const": F.lit(3.0), "holes": F.when(F.col("l_quantity") > 20, F.col("l_tax")),
+        "nans": F.when(F.col("l_tax") > 0.02, F.col("net_qty")).otherwise(F.lit(float("nan")))})
+    cols = ["l_quantity", "l_extendedprice", "l_tax", "net_qty", "const", "holes", "nans"]
+    few = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols).collect()}
+    many = PR.correlation_pairs(df.withColumns({f"more{i}": F.col("l_quantity") + i for i in range(70)}),
+                                [*cols, *[f"more{i}" for i in range(70)]])
+    many = {(r["x"], r["y"]): r["r"] for r in many.collect()}
+    pdf = df.select(*cols).toPandas().astype(float)
+    want = pdf.corr()
+    for (x, y), r in few.items():
+        if "const" in (x, y):
+            assert r is None and many[x, y] is None
         else:
-            assert wide[key] == pytest.approx(r, abs=1e-9)
+            assert r == pytest.approx(want.loc[x, y], abs=1e-9) == many[x, y]
 
 
 def test_correlation_with_constant_columns_is_null_not_an_error(spark):
     df = _lineitem(spark).withColumns({"c1": F.lit(1.0), "c2": F.lit(2.0)})
     for cols in (["l_quantity", "c1", "c2"], ["c1", "c2"]):
-        for wide_at in (60, 1):
-            got = {(r["x"], r["y"]): r["r"]
-                   for r in PR.correlation_pairs(df, cols, wide_at=wide_at).collect()}
-            for (x, y), r in got.items():
-                assert (r is None) == (x != "l_quantity" or y != "l_quantity"), (cols, wide_at)
+        got = {(r["x"], r["y"]): r["r"] for r in PR.correlation_pairs(df, cols).collect()}
+        for (x, y), r in got.items():
+            assert (r is None) == (x != "l_quantity" or y != "l_quantity"), cols
     lc = PR.label_correlation(df, F.col("c1"), ["l_quantity"]).first()
     assert lc["corr"] is None
 
@@ -156,6 +159,5 @@ def test_lasso_reads_the_rows_in_one_aggregate(spark):
 
 def test_wide_correlation_on_empty_input_is_null(spark):
     empty = spark.createDataFrame([], "a double, b double, c double")
-    for wide_at in (60, 1):
-        rows = PR.correlation_pairs(empty, ["a", "b", "c"], wide_at=wide_at).collect()
-        assert len(rows) == 6 and all(r["r"] is None for r in rows)
+    rows = PR.correlation_pairs(empty, ["a", "b", "c"]).collect()
+    assert len(rows) == 6 and all(r["r"] is None for r in rows)

@@ -70,7 +70,6 @@ def test_chi_square_and_mi_match_brute_force(spark):
 def test_profile_quantiles_match_numpy(spark, monkeypatch):
     from riskframe.operators import ordered
     monkeypatch.setattr(ordered, "DEFAULT_BUCKETS", 3)
-    monkeypatch.setattr(ordered, "SINGLE_TASK_ROWS", 0)
     rnd = random.Random(4)
     xs = [float(rnd.randint(0, 40)) for _ in range(250)] + [None] * 5
     df = spark.createDataFrame([(x,) for x in xs], "x double")
