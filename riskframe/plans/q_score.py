@@ -66,6 +66,21 @@ def k1_score_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sink)
 
 
+def k6_score_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 + K6 + S1 + S3 as users run it: the events as a CSV file without
+    label, its columns in another order, are read by header name, scored,
+    written as CSV and read back."""
+    from ..session import shared_path
+    from ..sources.tables import read_csv, write_table
+    from .stages import read_scoring_input
+    ev = _labelled_events(spark, sf_dir)
+    source = write_table(ev.select("value", F.lit("x").alias("more"), "event_id"), shared_path(spark, "events") + ".csv", "csv")
+    new = read_scoring_input(spark, source, ev.schema, "label")
+    scored = score_frame(event_scorer(), new, label_col="label", feature_cols=["value"], keep_cols=["event_id"])
+    kinds = scored.schema
+    return read_csv(spark, write_table(scored, shared_path(spark, "scored") + ".csv", "csv"), kinds)
+
+
 def g1_g2_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction_summary(scored_events(spark, sf_dir)).select(
         "n", "n_positive", "n_negative", r6(F.col("positive_rate_pct")).alias("positive_rate_pct"),
@@ -131,6 +146,7 @@ def e9_best_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "k1_score_events": k1_score_events,
     "k1_score_events_stream": k1_score_events_stream,
+    "k6_score_csv": k6_score_csv,
     "g1_g2_summary": g1_g2_summary,
     "g3_g4_tier_histogram": g3_g4_tier_histogram,
     "g3_tier_histogram_exact": g3_tier_histogram_exact,
@@ -192,6 +208,7 @@ _long_cte = (
 SQL = {
     "k1_score_events": f"WITH {_scored_cte} SELECT * FROM scored",
     "k1_score_events_stream": f"WITH {_scored_cte} SELECT * FROM scored",
+    "k6_score_csv": f"WITH {_scored_cte} SELECT * EXCLUDE (true_label, correct) FROM scored",
     "g1_g2_summary": (
         f"WITH {_scored_cte} SELECT count(*) AS n, count(*) FILTER (WHERE pred_label = 1) "
         "AS n_positive, count(*) FILTER (WHERE pred_label = 0) AS n_negative, "

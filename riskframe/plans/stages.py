@@ -121,17 +121,37 @@ def evaluate_stage(spark: SparkSession, test: DataFrame, label_col: str, model_r
             "roc": M.roc_curve(long), "skipped": skipped}
 
 
+def read_scoring_input(spark: SparkSession, path: str, schema: StructType | None,
+                       label_col: str = LABEL_COLUMN) -> DataFrame:
+    """A table to score: parquet, or CSV by header name with an optional label."""
+    if not path.rstrip("/").endswith(".csv"):
+        return spark.read.parquet(path)
+    if schema is None:
+        raise ValueError("reading a CSV needs an explicit schema")
+    return read_csv(spark, path, schema, optional=(label_col,))
+
+
 def predict_stage(spark: SparkSession, model_root: str, inputs: Sequence[str],
                   key: str = DEFAULT_MODEL, label_col: str = LABEL_COLUMN,
-                  preview_key: str | None = None, preview_rows: int | None = None) -> dict:
-    """Batch scoring (K1-K6, G1-G5): the first existing input of ``inputs``
-    (explicit, then test split, then recommended features: K6), the chosen
-    model or its fallback (K2), scored table, summary, tier histogram and a
-    key-ordered preview."""
-    path = first_existing(spark, inputs)
-    df = spark.read.parquet(path)
+                  preview_key: str | None = None, preview_rows: int | None = None,
+                  explicit: str | None = None, schema: StructType | None = None,
+                  output: str | None = None) -> dict:
+    """Batch scoring (K1-K6, G1-G5): an explicit input, which must exist, or
+    else the first existing one of ``inputs`` (test split, then recommended
+    features: K6); the chosen model or its fallback (K2), scored table,
+    summary, tier histogram and a key-ordered preview. A ``.csv`` input is
+    read by header name into ``schema``, the label optional. With ``output``
+    the scored table is written there (as CSV where the name says so) and
+    ``scored`` reads what was written."""
+    path = first_existing(spark, [explicit] if explicit is not None else inputs)
+    df = read_scoring_input(spark, path, schema, label_col)
     used, model = load_model(spark, model_root, key)
     scored = score_frame(model, df, label_col=label_col)
+    if output:
+        fmt = "csv" if output.endswith(".csv") else "parquet"
+        kinds = scored.schema
+        write_table(scored, output, fmt)
+        scored = (read_csv(spark, output, kinds, optional=()) if fmt == "csv" else spark.read.parquet(output))
     out = {"input": path, "model": used, "scored": scored,
            "summary": prediction_summary(scored), "histogram": tier_histogram(scored)}
     if preview_key:

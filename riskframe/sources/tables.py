@@ -7,8 +7,10 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, StructType
+from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
+                               StructType)
 
+from ..functions.constants import LABEL_COLUMN
 from ..functions.expressions import col
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -37,26 +39,39 @@ def nan_to_null(df: DataFrame) -> DataFrame:
                            .cast(df.schema[c].dataType) for c in floats})
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType,
-             null_value: str = "", extra_null_tokens: Iterable[str] = ("NA", "NaN", "N/A", "null")
-             ) -> DataFrame:
-    """Header CSV with an explicit schema (never inferSchema).
+# Spellings of a missing value, besides an empty field.
+MISSING_TOKENS = ("NA", "N/A", "n/a", "NaN", "nan", "null", "NULL", "None")
 
-    Spark takes one null token; pandas treats several as missing. String
-    columns map the other tokens to null with ``nullif``; typed columns
-    already read them as null (PERMISSIVE mode).
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, null_value: str = "",
+             extra_null_tokens: Iterable[str] = MISSING_TOKENS,
+             optional: Iterable[str] = (LABEL_COLUMN,)) -> DataFrame:
+    """CSV read by header name into an explicit schema (never inferSchema).
+
+    Columns may come in any order; others in the file are left out. A column
+    of the schema that the file lacks is an error naming all such columns,
+    unless it is ``optional`` (the label, by default): then it is left out.
+    Missing-value tokens become null in every column. Text in a numeric
+    column, or a row of another width, fails the read.
     """
-    df = (spark.read.schema(schema).option("header", True)
-          .option("nullValue", null_value).option("mode", "PERMISSIVE")
-          .option("enforceSchema", False).csv(path))
+    raw = (spark.read.option("header", True).option("nullValue", null_value)
+           .option("mode", "FAILFAST").csv(path))
+    optional = set(optional)
+    missing = [f.name for f in schema.fields if f.name not in raw.columns and f.name not in optional]
+    if missing:
+        raise KeyError(f"{path} lacks the columns {missing}; it has {raw.columns}")
     tokens = list(extra_null_tokens)
-    fixes = {}
+    out = []
     for f in schema.fields:
-        if f.dataType.typeName() == "string" and tokens:
-            fixes[f.name] = F.when(col(f.name).isin(tokens), F.lit(None)).otherwise(col(f.name))
-    if fixes:
-        df = df.withColumns(fixes)
-    return nan_to_null(df)
+        if f.name in raw.columns:
+            x = F.when(~F.trim(col(f.name)).isin(tokens), col(f.name)) if tokens else col(f.name)
+            if isinstance(f.dataType, (ByteType, ShortType, IntegerType, LongType)):
+                # "35.0" is the whole number 35; "35.5" and "forty" are errors
+                number = x.cast("decimal(38,9)")
+                bad = F.raise_error(F.concat(F.lit(f"not a whole number in {f.name}: "), x))
+                x = F.when(number.isNull() | (number == F.floor(number)), number).otherwise(bad.cast("decimal(38,9)"))
+            out.append(x.cast(f.dataType).alias(f.name))
+    return nan_to_null(raw.select(*out))
 
 
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:

@@ -101,3 +101,23 @@ def test_a_cluster_without_shared_folder_is_refused(spark):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         ensure_checkpoint_dir(Session())
+
+
+def test_csv_is_read_by_header_name(spark, tmp_path):
+    from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
+
+    from riskframe.sources.tables import read_csv
+    schema = StructType([StructField("Age", IntegerType()), StructField("x", DoubleType()),
+                         StructField("s", StringType()), StructField("class", StringType())])
+    good = tmp_path / "good.csv"
+    good.write_text("s,more,x,Age\na,1,0.5,35\nnan,2,NA,36.0\n,3,None,\n")
+    rows = read_csv(spark, str(good), schema).collect()
+    assert [tuple(r) for r in rows] == [(35, 0.5, "a"), (36, None, None), (None, None, None)]
+    bad = tmp_path / "bad.csv"
+    for value in ("forty", "35.5"):
+        bad.write_text(f"Age,x,s\n{value},1,a\n")
+        with pytest.raises(Exception):
+            read_csv(spark, str(bad), schema).collect()
+    bad.write_text("x,s\n1,a\n")
+    with pytest.raises(KeyError, match="Age"):
+        read_csv(spark, str(bad), schema)

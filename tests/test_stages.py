@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from riskframe.operators.encode import BinaryCode
@@ -29,8 +30,13 @@ def test_stages_end_to_end(spark):
     assert sum(n.values()) == labelled
     pred = predict_stage(spark, out["model_root"],
                          [shared_path(spark, "absent"), store.path("test")],
+                         output=shared_path(spark, "scored"),
                          key="mlp", label_col="class", preview_key="o_orderkey")
     assert pred["model"] == "logistic" and pred["input"] == store.path("test")
     hist = pred["histogram"].collect()
     assert sum(r["n"] for r in hist) == n["test"]
     assert len(pred["preview"].collect()) == min(10, n["test"])
+    # an explicit input that is absent stops the run, whatever else exists
+    with pytest.raises(FileNotFoundError, match="typo"):
+        predict_stage(spark, out["model_root"], [store.path("test")], label_col="class",
+                      explicit=shared_path(spark, "typo"))
