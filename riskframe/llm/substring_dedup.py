@@ -12,11 +12,11 @@
    into runs on a diagonal; the best chains of runs that advance in both
    documents are found by a sweep with a Fenwick tree of prefix maxima, a
    gap costing half a word for each word skipped on either side.
-4. Alignment: a chain is extended outward word by word on the texts of both
-   documents, with a drop limit, and aligned inside (equal words on the
-   diagonal, or a banded longest common subsequence where runs lie on
-   several diagonals). A passage counts from ``MIN_WORDS`` words with
-   ``IDENTITY`` of them equal.
+4. Alignment: the runs of a chain are extended on the texts of both
+   documents and the gaps between them are aligned (banded longest common
+   subsequence). Every longest stretch of runs with ``IDENTITY`` of its words
+   equal, the whole chain or a part of it, is extended outward word by word
+   with a drop limit and counts as a passage from ``MIN_WORDS`` words.
 
 The anchor keeps the passage; the other documents lose it.
 """
@@ -44,8 +44,9 @@ DROP = 4           # mismatches that end an extension
 BAND = 24          # diagonals on either side in a banded alignment
 
 _SEEDS = "id bigint, version bigint, seed bigint, nth int, pos int"
-_CHAINS = "id bigint, version bigint, anchor bigint, p0 int, p1 int, a0 int, a1 int"
-_WINDOWS = "id bigint, version bigint, anchor bigint, p0 int, p1 int, q0 int, q1 int, other string"
+_RUNS = "runs array<struct<p0:int,p1:int,a0:int>>"  # words p0 to p1 of the text, from a0 on in the anchor
+_CHAINS = f"id bigint, version bigint, anchor bigint, {_RUNS}"
+_WINDOWS = f"id bigint, version bigint, anchor bigint, {_RUNS}, first int, other string"
 _PASSAGES = ("id bigint, version bigint, n_words bigint, removed bigint, "
              "passages array<struct<first:int,last:int,source_id:bigint>>, kept string")
 
@@ -114,6 +115,11 @@ class _PrefixMax:
 
 def chains(pos: np.ndarray, apos: np.ndarray) -> list[tuple[int, int, int, int]]:
     """Best chains of seed matches: (p0, p1, a0, a1), word ranges in both texts."""
+    return [(c[0][0], c[-1][1], c[0][2], c[-1][2] + c[-1][1] - c[-1][0]) for c in linked(pos, apos)]
+
+
+def linked(pos: np.ndarray, apos: np.ndarray) -> list[list[tuple[int, int, int]]]:
+    """Best chains of seed matches, each as its runs in order: (p0, p1, a0)."""
     order = np.lexsort((pos, pos - apos))
     p, a = pos[order], apos[order]
     diagonal = p - a
@@ -122,7 +128,7 @@ def chains(pos: np.ndarray, apos: np.ndarray) -> list[tuple[int, int, int, int]]
     p0, p1, a0, a1 = p[begin], p[stop] + KMER, a[begin], a[stop] + KMER
     n = len(p0)
     if n == 1:
-        return [(int(p0[0]), int(p1[0]), int(a0[0]), int(a1[0]))]
+        return [[(int(p0[0]), int(p1[0]), int(a0[0]))]]
     ends = np.unique(a1 - KMER)
     tree = _PrefixMax(len(ends))
     score, back = [0.0] * n, [-1] * n
@@ -141,17 +147,24 @@ def chains(pos: np.ndarray, apos: np.ndarray) -> list[tuple[int, int, int, int]]
     for i in sorted(range(n), key=lambda i: -score[i]):
         if used[i]:
             continue
-        j = i
-        used[i] = True
-        while back[j] >= 0 and not used[back[j]]:
-            j = back[j]
+        chain, j = [], i
+        while j >= 0 and not used[j]:
             used[j] = True
-        out.append((int(p0[j]), int(p1[i]), int(a0[j]), int(a1[i])))
+            chain.append((int(p0[j]), int(p1[j]), int(a0[j])))
+            j = back[j]
+        out.append(chain[::-1])
     return out
 
 
+def _run_lists(runs: list[list[tuple[int, int, int]]]) -> pa.Array:
+    flat = [x for r in runs for x in r]
+    p0, p1, a0 = zip(*flat, strict=True) if flat else ((), (), ())
+    return pa.ListArray.from_arrays(
+        pa.array(np.concatenate(([0], np.cumsum([len(r) for r in runs]))), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(c, pa.int32()) for c in (p0, p1, a0)], ["p0", "p1", "a0"]))
+
+
 def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["id", "version", "anchor", "p0", "p1", "a0", "a1"]
     for batch in batches:
         rows = []
         ids, versions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
@@ -167,32 +180,30 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             for b, e in zip([0, *cut], [*cut, len(an)], strict=True):
                 if e - b < 2 or po[b:e].max() - po[b:e].min() + KMER < LEAST_CHAIN:
                     continue
-                rows += [(ids[r], versions[r], int(an[b]), *c) for c in chains(po[b:e], ap[b:e])
-                         if c[1] - c[0] >= LEAST_CHAIN]
-        columns = list(zip(*rows, strict=True)) or [[]] * len(names)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, pa.int64() if k < 3 else pa.int32()) for k, c in enumerate(columns)], names=names)
+                rows += [(ids[r], versions[r], int(an[b]), c) for c in linked(po[b:e], ap[b:e])
+                         if c[-1][1] - c[0][0] >= LEAST_CHAIN]
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], _run_lists(columns[3])],
+                                         names=["id", "version", "anchor", "runs"])
 
 
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (chain columns, text of the anchor) to rows with the anchor's words around the chain."""
+    """Rows (chain columns, text of the anchor) to rows with the anchor's words around the
+    chain and the place of the first of them."""
     for batch in batches:
-        text = batch.column(7)
+        text = batch.column(4)
         for lo, hi in slices(text):
             w = words(text.slice(lo, hi - lo))
-            a0, a1 = (batch.column(c).slice(lo, hi - lo).to_numpy() for c in (5, 6))
-            q0, q1, other = [], [], []
-            for i in range(hi - lo):
-                b, e = w.offsets[i], w.offsets[i + 1]
-                n = e - b
-                s, t = max(0, int(a0[i]) - MARGIN), min(n, int(a1[i]) + MARGIN)
-                q0.append(int(a0[i]) - s)
-                q1.append(int(a1[i]) - s)
-                other.append(bytes(w.data[w.start[b + s]:w.end[b + t - 1]]).decode() if s < t else "")
             part = batch.slice(lo, hi - lo)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(c) for c in range(5)] + [pa.array(q0, pa.int32()), pa.array(q1, pa.int32()), pa.array(other)],
-                names=["id", "version", "anchor", "p0", "p1", "q0", "q1", "other"])
+            first, other = [], []
+            for i, runs in enumerate(part.column(3).to_pylist()):
+                b, n = w.offsets[i], w.offsets[i + 1] - w.offsets[i]
+                end = runs[-1]["a0"] + runs[-1]["p1"] - runs[-1]["p0"]
+                s, t = max(0, runs[0]["a0"] - MARGIN), min(n, end + MARGIN)
+                first.append(s)
+                other.append(bytes(w.data[w.start[b + s]:w.end[b + t - 1]]).decode() if s < t else "")
+            yield pa.RecordBatch.from_arrays([*[part.column(c) for c in range(4)], pa.array(first, pa.int32()), pa.array(other)],
+                                             names=["id", "version", "anchor", "runs", "first", "other"])
 
 
 def _extend(same: np.ndarray) -> int:
@@ -228,19 +239,68 @@ def _common(x: np.ndarray, y: np.ndarray) -> int:
     return int(row.max())
 
 
-def align(d: np.ndarray, a: np.ndarray, p0: int, p1: int, q0: int, q1: int) -> tuple[int, int] | None:
-    """The passage of ``d`` that matches ``a`` around a chain, or None."""
-    p1, q1 = min(p1, len(d)), min(q1, len(a))
-    n = min(p0, q0)
-    left = _extend((d[p0 - n:p0] == a[q0 - n:q0])[::-1])
-    n = min(len(d) - p1, len(a) - q1)
-    right = _extend(d[p1:p1 + n] == a[q1:q1 + n])
-    p0, p1, q0, q1 = p0 - left, p1 + right, q0 - left, q1 + right
-    if p1 - p0 < MIN_WORDS:
-        return None
-    if _common(d[p0:p1], a[q0:q1]) < IDENTITY * max(p1 - p0, q1 - q0):
-        return None
-    return p0, p1
+def _equal_from(same: np.ndarray) -> int:
+    """How many words from the left are equal without a break."""
+    return len(same) if same.all() else int(same.argmin())
+
+
+def align(d: np.ndarray, a: np.ndarray, runs: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The passages of ``d`` that match ``a`` along a chain of runs (p0, p1, a0).
+
+    A stretch of neighbouring runs has equal words (of the runs, and of the
+    gaps between them) and a span (the longer side); all longest stretches
+    with ``IDENTITY`` of the span equal are taken, the whole chain or parts.
+    """
+    fitted: list[list[int]] = []  # p0, p1, q0, q1 of runs that advance on both sides
+    for p0, p1, q0 in runs:
+        q1 = min(q0 + p1 - p0, len(a))
+        p1 = min(p0 + q1 - q0, len(d))
+        q1 = q0 + p1 - p0
+        if fitted:
+            over = max(0, fitted[-1][1] - p0, fitted[-1][3] - q0)
+            p0, q0 = p0 + over, q0 + over
+        if p1 > p0:
+            fitted.append([p0, p1, q0, q1])
+    for k, r in enumerate(fitted):  # words next to a run that are equal belong to it
+        low = fitted[k - 1] if k else (0, 0, 0, 0)
+        n = min(r[0] - low[1], r[2] - low[3])
+        n = _equal_from((d[r[0] - n:r[0]] == a[r[2] - n:r[2]])[::-1]) if n else 0
+        r[0], r[2] = r[0] - n, r[2] - n
+        high = fitted[k + 1] if k + 1 < len(fitted) else (len(d), 0, len(a), 0)
+        n = min(high[0] - r[1], high[2] - r[3])
+        n = _equal_from(d[r[1]:r[1] + n] == a[r[3]:r[3] + n]) if n else 0
+        r[1], r[3] = r[1] + n, r[3] + n
+    if not fitted:
+        return []
+    m = len(fitted)
+    surplus = np.zeros(2 * m - 1)  # runs and the gaps between them: equal words less those that IDENTITY asks for
+    for k, (p0, p1, q0, q1) in enumerate(fitted):
+        surplus[2 * k] = int((d[p0:p1] == a[q0:q1]).sum()) - IDENTITY * (p1 - p0)
+        if k + 1 < m:
+            x, y = d[p1:fitted[k + 1][0]], a[q1:fitted[k + 1][2]]
+            surplus[2 * k + 1] = (_common(x, y) if len(x) and len(y) else 0) - IDENTITY * max(len(x), len(y))
+    total = np.concatenate(([0.0], np.cumsum(surplus)))
+    before, after = total[0:-1:2], total[1::2]  # up to the start and the end of each run
+    ahead = np.maximum.accumulate(after[::-1])[::-1]  # falls: the last end that is no lower than a start
+    found: list[tuple[int, int]] = []
+    reach = -1
+    for k in range(m):
+        last = m - 1 - int(np.searchsorted(ahead[::-1], before[k] - 1e-9))
+        if last <= reach or last < k:
+            continue  # part of a stretch that was taken, or a run too unequal
+        reach = last
+        p0, q0, p1, q1 = fitted[k][0], fitted[k][2], fitted[last][1], fitted[last][3]
+        n = min(p0, q0)
+        left = _extend((d[p0 - n:p0] == a[q0 - n:q0])[::-1])
+        n = min(len(d) - p1, len(a) - q1)
+        right = _extend(d[p1:p1 + n] == a[q1:q1 + n])
+        equal = after[last] - before[k]
+        more = int((d[p0 - left:p0] == a[q0 - left:q0]).sum() + (d[p1:p1 + right] == a[q1:q1 + right]).sum())
+        if equal + more - IDENTITY * (left + right) < -1e-9:
+            left = right = 0
+        if p1 + right - p0 + left >= MIN_WORDS:
+            found.append((p0 - left, p1 + right))
+    return found
 
 
 def _cut(w, i: int, spans: list[tuple[int, int]]) -> str:
@@ -266,9 +326,8 @@ def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                 h = w.of(i)
                 found = []
                 for c in batch.column(3)[lo + i].as_py():
-                    hit = align(h, words(pa.array([c["other"]])).hash, c["p0"], c["p1"], c["q0"], c["q1"])
-                    if hit:
-                        found.append((*hit, c["anchor"]))
+                    runs = [(x["p0"], x["p1"], x["a0"] - c["first"]) for x in c["runs"]]
+                    found += [(*x, c["anchor"]) for x in align(h, words(pa.array([c["other"]])).hash, runs)]
                 if not found:
                     continue
                 spans: list[list[int]] = []
@@ -313,11 +372,11 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     ids = found.select("id").unionByName(found.select(F.col("anchor").alias("id"))).distinct()
     texts = saved(base.join(ids, "id", "left_semi").distinct(), "texts")
     windows = (found.join(texts.select(F.col("id").alias("anchor"), "text"), "anchor")
-               .select(found["id"], found["version"], "anchor", "p0", "p1", "a0", "a1", "text")
+               .select(found["id"], found["version"], "anchor", "runs", "text")
                .mapInArrow(_window_batches, _WINDOWS))
     # Bounded: the chains of one text are about as long as the text.
     lists = windows.groupBy("id", "version").agg(
-        F.collect_list(F.struct("anchor", "p0", "p1", "q0", "q1", "other")).alias("chains"))
+        F.collect_list(F.struct("anchor", "runs", "first", "other")).alias("chains"))
     return saved(texts.join(lists, ["id", "version"]).select("id", "text", "version", "chains")
                  .mapInArrow(_passage_batches, _PASSAGES), "passages")
 

@@ -311,3 +311,36 @@ def test_pipeline_keeps_clean_documents(spark):
             items = [" ".join(_words(r["text"])) for r in _table("benchmark")]
             assert not any(x in " ".join(_words(t)) for t in after.values() for x in items)
             assert len(after) >= 0.9 * len(before)
+
+
+def test_exact_passages_beside_gaps_go(spark):
+    """Two exact 100-word passages of one pair, and five of 60 words, whatever the gaps between them."""
+    from riskframe.llm.substring_dedup import repeated_passages
+
+    rows, want = [], {}
+
+    def text(n, name):
+        return [f"{name}x{k}" for k in range(n)]
+
+    def pair(n, size, gap_own, gap_other):
+        i = 10 * (len(want) + 1)
+        shared = [text(size, f"p{i}n{k}") for k in range(n)]
+        first, second, at = text(30, f"u{i}"), text(30, f"v{i}"), set()
+        for k, x in enumerate(shared):
+            first += x + text(gap_other, f"g{i}n{k}")
+            at.update(range(len(second), len(second) + size))
+            second += x + text(gap_own, f"h{i}n{k}")
+        rows.extend([(i, " ".join(first)), (i + 1, " ".join(second))])
+        want[i + 1] = at
+
+    for gap in range(20, 201, 15):
+        for own, other in ((0, gap), (gap, 0), (gap, gap)):
+            pair(2, 100, own, other)
+            pair(5, 60, own, other)
+    got = {}
+    for r in repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect():
+        got[r.id] = {k for x in r.passages for k in range(x.first, x.last + 1)}
+        for x in r.passages:
+            own = want[r.id] & set(range(x.first, x.last + 1))
+            assert len(own) >= 0.8 * (x.last - x.first + 1) and x.last - x.first >= 49
+    assert got.keys() == want.keys() and all(want[i] <= got[i] for i in want)
