@@ -7,7 +7,12 @@
    occurrence in the document with the smallest id that has so many, and
    with that one only. A passage in a million documents gives a million
    matches, not their pairs; one that repeats a line inside itself still
-   matches in order.
+   matches in order. Parts of a passage may have different anchors, so
+   that none shares the whole: where all seeds of ``MIN_WORDS`` words are
+   shared with any document, those words are hashed as one, at every word,
+   and matched with the smallest id that has them all, unless a passage
+   found by chains holds them already. No text keeps ``MIN_WORDS`` words that
+   an earlier one keeps, however often they occur.
 3. Chains: the matches of one document with one anchor document are merged
    into runs on a diagonal; the best chains of runs that advance in both
    documents are found by a sweep with a Fenwick tree of prefix maxima, a
@@ -47,6 +52,8 @@ _SEEDS = "id bigint, version bigint, seed bigint, nth int, pos int"
 _RUNS = "runs array<struct<p0:int,p1:int,a0:int>>"  # words p0 to p1 of the text, from a0 on in the anchor
 _CHAINS = f"id bigint, version bigint, anchor bigint, {_RUNS}"
 _WINDOWS = f"id bigint, version bigint, anchor bigint, {_RUNS}, first int, other string"
+_FOUND = "passages array<struct<first:int,last:int,source_id:bigint>>"
+_ALIGNED = f"id bigint, version bigint, {_FOUND}, grams array<struct<gram:bigint,pos:int,again:boolean>>"
 _PASSAGES = ("id bigint, version bigint, n_words bigint, removed bigint, "
              "passages array<struct<first:int,last:int,source_id:bigint>>, kept string")
 
@@ -175,6 +182,9 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             lo, hi = offsets[r], offsets[r + 1]
             an, ap, po = anchor[lo:hi], apos[lo:hi].astype(np.int64), pos[lo:hi].astype(np.int64)
             order = np.argsort(an, kind="stable")
+            order = order[an[order] != ids[r]]  # what the text keeps itself
+            if not len(order):
+                continue
             an, ap, po = an[order], ap[order], po[order]
             cut = np.flatnonzero(np.diff(an)) + 1
             for b, e in zip([0, *cut], [*cut, len(an)], strict=True):
@@ -187,6 +197,45 @@ def _chain_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                          names=["id", "version", "anchor", "runs"])
 
 
+def whole_grams(h: np.ndarray, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the runs of ``MIN_WORDS`` words of which every seed is a
+    shared one; ``shared`` holds positions of shared seeds, the first of each at least.
+
+    The seeds of the windows inside a run depend on its words only, so two
+    texts with the run have the same ones.
+    """
+    if len(h) < MIN_WORDS:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    g = shingle_hashes(h, KMER)
+    view = np.lib.stride_tricks.sliding_window_view(g, WINDOW)
+    seed = g[view.argmin(axis=1) + np.arange(len(view))]
+    inside = MIN_WORDS - KMER - WINDOW + 2  # windows in a run
+    total = np.concatenate(([0], np.cumsum(np.isin(seed, g[shared]))))
+    at = np.flatnonzero(total[inside:] - total[:-inside] == inside)
+    return at, shingle_hashes(h, MIN_WORDS)[at] if len(at) else np.zeros(0, np.uint64)
+
+
+def _exact_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, version, gram matches) to the exact runs, as chains of one run."""
+    for batch in batches:
+        rows = []
+        ids, versions = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+        lists = batch.column(2)
+        offsets = lists.offsets.to_numpy()
+        anchor, apos, pos = (lists.values.field(c).to_numpy(zero_copy_only=False) for c in range(3))
+        for r in range(len(batch)):
+            lo, hi = offsets[r], offsets[r + 1]
+            an, ap, po = anchor[lo:hi], apos[lo:hi].astype(np.int64), pos[lo:hi].astype(np.int64)
+            order = np.lexsort((po, po - ap, an))
+            an, ap, po = an[order], ap[order], po[order]
+            cut = np.flatnonzero((np.diff(an) != 0) | (np.diff(po - ap) != 0) | (np.diff(po) > 1)) + 1
+            for b, e in zip([0, *cut], [*cut, len(an)], strict=True):
+                rows.append((ids[r], versions[r], int(an[b]), [(int(po[b]), int(po[e - 1]) + MIN_WORDS, int(ap[b]))]))
+        columns = list(zip(*rows, strict=True)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in columns[:3]], _run_lists(columns[3])],
+                                         names=["id", "version", "anchor", "runs"])
+
+
 def _window_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (chain columns, text of the anchor) to rows with the anchor's words around the
     chain and the place of the first of them."""
@@ -315,40 +364,94 @@ def _cut(w, i: int, spans: list[tuple[int, int]]) -> str:
     return b"".join(out).decode()
 
 
+def _matched(h: np.ndarray, chained: list | None) -> list[tuple[int, int, int]]:
+    """Passages (first word, word after the last, anchor) of a text's chains."""
+    found = []
+    for c in chained or []:
+        runs = [(x["p0"], x["p1"], x["a0"] - c["first"]) for x in c["runs"]]
+        found += [(*x, c["anchor"]) for x in align(h, words(pa.array([c["other"]])).hash, runs)]
+    return found
+
+
+def _union(found: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    spans: list[list[int]] = []
+    for p0, p1, _ in sorted(found):
+        if spans and p0 <= spans[-1][1]:
+            spans[-1][1] = max(spans[-1][1], p1)
+        else:
+            spans.append([p0, p1])
+    return [(p, q) for p, q in spans]
+
+
+def _rows_of(found: list[tuple[int, int, int]]) -> list[dict]:
+    return [{"first": p, "last": q - 1, "source_id": s} for p, q, s in sorted(set(found))]
+
+
+_FOUND_TYPE = pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("source_id", pa.int64())]))
+
+
+def _aligned_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (id, text, version, shared, chains) to the passages of the chains, and the whole
+    grams that no passage holds."""
+    for batch in batches:
+        for lo, hi in slices(batch.column(1)):
+            part = batch.slice(lo, hi - lo)
+            w = words(part.column(1))
+            passages, sizes, grams, places, again = [], [0], [], [], []
+            for i in range(hi - lo):
+                h = w.of(i)
+                found = _matched(h, part.column(4)[i].as_py())
+                passages.append(_rows_of(found))
+                at, g = whole_grams(h, part.column(3)[i].values.to_numpy())
+                held = np.zeros(len(at), bool)
+                for p0, p1 in _union(found):
+                    held |= (at >= p0) & (at + MIN_WORDS <= p1)
+                at, g = at[~held], g[~held]
+                sizes.append(sizes[-1] + len(at))
+                grams.append(signed(g))
+                places.append(at.astype(np.int32))
+                again.append(occurrence(g) > 0 if len(g) else np.zeros(0, bool))
+            lists = pa.ListArray.from_arrays(
+                pa.array(sizes, pa.int32()),
+                pa.StructArray.from_arrays([pa.array(np.concatenate(x)) for x in (grams, places, again)], ["gram", "pos", "again"]))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(passages, _FOUND_TYPE), lists],
+                                             names=["id", "version", "passages", "grams"])
+
+
 def _passage_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (id, text, version, chains) to the passages found and the text left."""
+    """Rows (id, text, version, passages, chains of exact runs) to all passages and the text left."""
     for batch in batches:
         for lo, hi in slices(batch.column(1)):
-            w = words(batch.column(1).slice(lo, hi - lo))
+            part = batch.slice(lo, hi - lo)
+            w = words(part.column(1))
             out: dict[str, list] = {k: [] for k in ("id", "version", "n_words", "removed", "passages", "kept")}
             for i in range(hi - lo):
-                row_id, version = batch.column(0)[lo + i].as_py(), batch.column(2)[lo + i].as_py()
                 h = w.of(i)
-                found = []
-                for c in batch.column(3)[lo + i].as_py():
-                    runs = [(x["p0"], x["p1"], x["a0"] - c["first"]) for x in c["runs"]]
-                    found += [(*x, c["anchor"]) for x in align(h, words(pa.array([c["other"]])).hash, runs)]
+                found = [(x["first"], x["last"] + 1, x["source_id"]) for x in part.column(3)[i].as_py() or []]
+                found += _matched(h, part.column(4)[i].as_py())
                 if not found:
                     continue
-                spans: list[list[int]] = []
-                for p0, p1, _ in sorted(found):
-                    if spans and p0 <= spans[-1][1]:
-                        spans[-1][1] = max(spans[-1][1], p1)
-                    else:
-                        spans.append([p0, p1])
-                out["id"].append(row_id)
-                out["version"].append(version)
+                spans = _union(found)
+                out["id"].append(part.column(0)[i].as_py())
+                out["version"].append(part.column(2)[i].as_py())
                 out["n_words"].append(len(h))
                 out["removed"].append(sum(q - p for p, q in spans))
-                out["passages"].append([{"first": p, "last": q - 1, "source_id": s} for p, q, s in sorted(set(found))])
-                out["kept"].append(_cut(w, i, [(p, q) for p, q in spans]))
+                out["passages"].append(_rows_of(found))
+                out["kept"].append(_cut(w, i, spans))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(out["id"], pa.int64()), pa.array(out["version"], pa.int64()), pa.array(out["n_words"], pa.int64()),
-                 pa.array(out["removed"], pa.int64()),
-                 pa.array(out["passages"], pa.list_(pa.struct([("first", pa.int32()), ("last", pa.int32()), ("source_id", pa.int64())]))),
+                 pa.array(out["removed"], pa.int64()), pa.array(out["passages"], _FOUND_TYPE),
                  pa.array(out["kept"], pa.string())], names=list(out))
 
 
+def _windows(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, version, chains) of each text, the chains with the anchor's words around them."""
+    windows = (found.join(texts.select(F.col("id").alias("anchor"), "text"), "anchor")
+               .select("id", "version", "anchor", "runs", "text").mapInArrow(_window_batches, _WINDOWS))
+    # Bounded: the chains of one text are about as long as the text.
+    return windows.groupBy("id", "version").agg(F.collect_list(F.struct("anchor", "runs", "first", "other")).alias("chains"))
+
+
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, version, n_words, removed, passages, kept): one row per text with repeats.
 
@@ -366,18 +469,26 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     anchors = (seeds.groupBy("seed", "nth")
                .agg(F.min("id").alias("anchor"), F.max("id").alias("most"), F.min_by("pos", "id").alias("apos"))
                .filter("anchor < most").select("seed", "nth", "anchor", "apos"))
-    matches = seeds.join(anchors, ["seed", "nth"]).filter("id <> anchor")
-    per_text = matches.groupBy("id", "version").agg(F.collect_list(F.struct("anchor", "apos", "pos")).alias("m"))
-    found = saved(per_text.mapInArrow(_chain_batches, _CHAINS), "chains")
-    ids = found.select("id").unionByName(found.select(F.col("anchor").alias("id"))).distinct()
-    texts = saved(base.join(ids, "id", "left_semi").distinct(), "texts")
-    windows = (found.join(texts.select(F.col("id").alias("anchor"), "text"), "anchor")
-               .select(found["id"], found["version"], "anchor", "runs", "text")
-               .mapInArrow(_window_batches, _WINDOWS))
-    # Bounded: the chains of one text are about as long as the text.
-    lists = windows.groupBy("id", "version").agg(
-        F.collect_list(F.struct("anchor", "runs", "first", "other")).alias("chains"))
-    return saved(texts.join(lists, ["id", "version"]).select("id", "text", "version", "chains")
+    hits = seeds.join(anchors, ["seed", "nth"])
+    # The texts that keep a seed are in it too. A run of MIN_WORDS words has more than one seed.
+    per_text = saved(hits.groupBy("id", "version").agg(F.collect_list(F.struct("anchor", "apos", "pos")).alias("m"))
+                     .filter(F.size("m") > 1), "matches")
+    linked_up = saved(per_text.mapInArrow(_chain_batches, _CHAINS), "chains")
+    texts = saved(base.join(per_text.select("id", "version", F.col("m.pos").alias("shared")), ["id", "version"])
+                  .dropDuplicates(["id", "version"]).select("id", "text", "version", "shared"), "texts")
+    aligned = saved(texts.join(_windows(linked_up, texts), ["id", "version"], "left")
+                    .select("id", "text", "version", "shared", "chains").mapInArrow(_aligned_batches, _ALIGNED), "aligned")
+    grams = aligned.select("id", "version", F.explode("grams").alias("g")).select("id", "version", "g.*")
+    firsts = (grams.groupBy("gram")
+              .agg(F.min("id").alias("anchor"), F.max("id").alias("most"),
+                   F.min_by("pos", F.when(~F.col("again"), F.col("id"))).alias("apos"))
+              .filter("anchor < most").select("gram", "anchor", "apos"))
+    exact = saved(grams.join(firsts, "gram").filter("id <> anchor")
+                  .groupBy("id", "version").agg(F.collect_list(F.struct("anchor", "apos", "pos")).alias("m"))
+                  .mapInArrow(_exact_batches, _CHAINS), "exact")
+    both = (aligned.filter(F.size("passages") > 0).select("id", "version", "passages")
+            .join(_windows(exact, texts), ["id", "version"], "full"))
+    return saved(texts.join(both, ["id", "version"]).select("id", "text", "version", "passages", "chains")
                  .mapInArrow(_passage_batches, _PASSAGES), "passages")
 
 

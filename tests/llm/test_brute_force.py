@@ -344,3 +344,25 @@ def test_exact_passages_beside_gaps_go(spark):
             own = want[r.id] & set(range(x.first, x.last + 1))
             assert len(own) >= 0.8 * (x.last - x.first + 1) and x.last - x.first >= 49
     assert got.keys() == want.keys() and all(want[i] <= got[i] for i in want)
+
+
+def test_exact_passages_of_lines_found_elsewhere_go(spark):
+    """Passages of two lines that earlier documents hold apart, and copies beyond the anchor's number."""
+    from riskframe.llm.substring_dedup import repeated_passages
+
+    rng = np.random.default_rng(7)
+
+    def text(n):
+        return [f"w{x}" for x in rng.integers(0, 10 ** 9, n)]
+
+    rows, want = [], {}
+    for i in range(0, 600, 10):
+        one, two, cut = text(30), text(30), int(rng.integers(0, 6))
+        both = (one + two)[cut:cut + 50 + i % 11]
+        rows += [(i, text(40) + one + text(40)), (i + 1, text(40) + two + text(40)),
+                 (i + 2, text(25) + both + text(25)), (i + 3, text(10) + both + text(45) + both + text(5))]
+        n = len(both)
+        want[i + 3] = {*range(10, 10 + n), *range(55 + n, 55 + 2 * n)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
+    got = {r.id: {k for x in r.passages for k in range(x.first, x.last + 1)} for r in repeated_passages(df).collect()}
+    assert got == want
