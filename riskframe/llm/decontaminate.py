@@ -1,6 +1,7 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Case and ASCII punctuation do not count. An item of n words is compared with windows of n words. Both are five-word
+Case and ASCII punctuation do not count. An item of n words is compared with windows of n words,
+or with the whole text where that is shorter. Both are five-word
 shingles (an item of fewer words is one shingle) weighted by 1 + ln(N /
 items that have the shingle); the 64-bit SimHash of a window is the sign
 of the weighted sum of its shingles' +-1 hash bits. All items of a window's length
@@ -101,7 +102,7 @@ class Index:
         """(item, first word, words, similarity, distance): the best window of each item in a text."""
         best: dict[int, tuple] = {}
         for k in range(1, SHINGLE + 1):
-            mine = [n for n in self.lengths if min(n, SHINGLE) == k and n <= len(h)]
+            mine = [n for n in self.lengths if min(n, SHINGLE) == k]
             if mine:
                 g = shingle_hashes(h, k)
                 w, hit = self.weigh(g)
@@ -119,7 +120,7 @@ class Index:
         where = np.repeat(where, reps)
         for n in sorted(set(lengths) & set(owner.tolist())):
             at, f, keys, who = self.lengths[n]
-            size = n - k + 1
+            size = min(n - k + 1, len(g))  # a text shorter than the item is one window
             mine = np.zeros(len(g) + 1, np.int64)
             mine[where[owner == n] + 1] = 1
             some = np.cumsum(mine)
@@ -144,7 +145,7 @@ class Index:
                 shared = weights[common].sum()
                 score = float(shared / (weights.sum() + w[s:s + size][first].sum() - shared))
                 if score >= SIMILARITY - 1e-9 and (name not in best or score > best[name][3]):
-                    best[name] = (name, s, n, score, int(d))
+                    best[name] = (name, s, size + k - 1, score, int(d))
 
 
 def _item_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -366,3 +366,17 @@ def test_exact_passages_of_lines_found_elsewhere_go(spark):
     df = spark.createDataFrame([(i, " ".join(w)) for i, w in rows], "doc_id bigint, text string")
     got = {r.id: {k for x in r.passages for k in range(x.first, x.last + 1)} for r in repeated_passages(df).collect()}
     assert got == want
+
+
+def test_texts_shorter_than_an_item_leak(spark):
+    """A text that is an item with words missing, whole text against whole item."""
+    from riskframe.llm.decontaminate import leaked_items
+
+    item = [f"q{k}" for k in range(59)]
+    shingles = lambda w: {tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))}
+    docs = {n: item[:n] for n in range(0, 60)} | {100 + n: item[n:] for n in range(1, 59)}
+    near = {i: len(shingles(w) & shingles(item)) / len(shingles(w) | shingles(item)) for i, w in docs.items()}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs.items()], "doc_id bigint, text string")
+    one = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    got = {r.doc_id: (r.first_word, r.n_words) for r in leaked_items(df, one).collect()}
+    assert got == {i: (0, len(docs[i])) for i, x in near.items() if x >= 0.75}
