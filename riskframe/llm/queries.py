@@ -15,8 +15,10 @@ from riskframe.llm.knn import top_products
 from riskframe.llm.license_scan import scan
 from riskframe.llm.mixing import taken
 from riskframe.llm.near_dedup import near_duplicates
+from riskframe.llm.prefix_trie import conversation_trie
 from riskframe.llm.quality import quality_scores
 from riskframe.llm.substring_dedup import passage_rows
+from riskframe.llm.threshold_clusters import threshold_clusters
 from riskframe.llm.url_filter import judged
 
 
@@ -75,6 +77,16 @@ def op10_voronoi_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_products(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_threshold_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight clusters of all embeddings after ten rounds, assigned by the threshold algorithm."""
+    return threshold_clusters(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all conversations, rebuilt on the first turns of each hundred's first."""
+    return conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_url_markov_ratio": op1_url_markov_ratio,
@@ -87,6 +99,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tfidf_license_scan": op8_tfidf_license_scan,
     "op9_collinear_substring_dedup": op9_collinear_substring_dedup,
     "op10_voronoi_top_products": op10_voronoi_top_products,
+    "op11_threshold_clusters": op11_threshold_clusters,
+    "op12_conversation_trie": op12_conversation_trie,
 }
 
 _TOP_PRODUCTS = """
@@ -136,7 +150,93 @@ SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, d.doc_id) AS com
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN component ON id = d.doc_id
 """
 
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """The rounds written out: a{i} assigns to the centroids c{i}, c{i + 1} are their means."""
+    def assigned(i: int) -> str:
+        return f"""a{i} AS MATERIALIZED (
+  SELECT row, vec_id, v, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+  FROM (SELECT row, vec_id, kept.v, cluster, CAST(list_sum(list_transform(list_zip(kept.v, c{i}.v),
+          lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS distance FROM kept, c{i})
+  GROUP BY row, vec_id, v)"""
+
+    def moved(i: int) -> str:
+        return f"""c{i + 1} AS MATERIALIZED (
+  SELECT c{i}.cluster, coalesce(m.v, c{i}.v) AS v
+  FROM c{i} LEFT JOIN (
+    SELECT cluster, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY place) AS v
+    FROM (SELECT cluster, place, sum(x) AS s, count(*) AS n
+          FROM (SELECT cluster, unnest(v) AS x, unnest(range(64)) AS place FROM a{i}) GROUP BY cluster, place)
+    GROUP BY cluster) m USING (cluster))"""
+
+    steps = ",\n".join(f"{assigned(i)},\n{moved(i)}" for i in range(rounds))
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS row, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS cluster, v
+  FROM kept QUALIFY cluster < 8
+),
+{steps},
+{assigned(rounds)}
+SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, distance,
+       CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c{rounds}.v, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} USING (cluster)
+"""
+
+
+_TRIE = r"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)),
+      lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM range(256) r(i))
+), turns AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, coalesce(role, ''), md5(coalesce(text, ''))) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT c, c - c % 100 AS base,
+         xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda ch: CAST(ascii(ch) AS BIGINT))),
+           lambda x, b: xor(x >> 8, t[(xor(x, b) & 255) + 1])), 4294967295) % 6 AS h
+  FROM (SELECT DISTINCT c FROM turns), crc_table
+), sequences AS (
+  SELECT c, list({'role': role, 'text': text} ORDER BY part, place) AS s FROM (
+    SELECT convs.c, 0 AS part, place, role, text FROM convs JOIN turns ON turns.c = base AND place <= h
+    UNION ALL SELECT convs.c, 1, place, role, text FROM convs JOIN turns ON turns.c = convs.c AND place > h)
+  GROUP BY c
+), whole AS (
+  SELECT c, coalesce(s, []) AS s FROM convs LEFT JOIN sequences USING (c)
+), prefixes AS (
+  SELECT c, d, s[1:d] AS p, s[1:d - 1] AS up, len(s) = d AS ends, CASE WHEN d > 0 THEN length(s[d].text) ELSE 0 END AS chars
+  FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM whole)
+), nodes AS (
+  SELECT min(c) AS conv_id, d, p, any_value(up) AS up, count(*) AS n, any_value(chars) AS chars,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, p
+), family AS (
+  SELECT x.*, up.conv_id AS parent, coalesce(kids.n_children, 0) AS n_children
+  FROM nodes x LEFT JOIN nodes up ON up.d = x.d - 1 AND up.p = x.up
+  LEFT JOIN (SELECT d - 1 AS d, up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL) kids ON kids.d = x.d AND kids.p = x.p
+), below AS (
+  SELECT q.d, q.p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+         sum(CASE WHEN x.d > 0 THEN (n - 1) * x.chars ELSE 0 END) AS saved_tokens
+  FROM family x JOIN prefixes q ON q.c = x.conv_id AND q.d <= x.d GROUP BY q.d, q.p
+)
+SELECT conv_id, d AS depth, CASE WHEN d > 0 THEN parent END AS parent_conv_id, n AS n_convs, n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, ends_sha256
+FROM family JOIN below USING (d, p)
+"""
+
 SQL: dict[str, str] = {
     "op5_minhash_near_dedup": _NEAR_DUPLICATES,
     "op10_voronoi_top_products": _TOP_PRODUCTS,
+    "op11_threshold_clusters": _clusters_sql(),
+    "op12_conversation_trie": _TRIE,
 }
