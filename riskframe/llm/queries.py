@@ -14,6 +14,7 @@ from riskframe.llm.html_extract import main_texts
 from riskframe.llm.knn import top_products
 from riskframe.llm.license_scan import scan
 from riskframe.llm.mixing import taken
+from riskframe.llm.multi_order_join import jaccard_components
 from riskframe.llm.near_dedup import near_duplicates
 from riskframe.llm.prefix_trie import conversation_trie
 from riskframe.llm.quality import quality_scores
@@ -87,6 +88,11 @@ def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie(_table(spark, sf_dir, "conversations"))
 
 
+def op13_multi_order_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under four-word shingle similarity of 0.85."""
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline": corpus_pipeline.run,
     "op1_url_markov_ratio": op1_url_markov_ratio,
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_voronoi_top_products": op10_voronoi_top_products,
     "op11_threshold_clusters": op11_threshold_clusters,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_multi_order_join": op13_multi_order_join,
 }
 
 _TOP_PRODUCTS = """
@@ -120,14 +127,15 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 5
 """
 
-_NEAR_DUPLICATES = r"""
+# Words of a shingle and percent of similarity are put in by the two queries below.
+_SHINGLE_COMPONENTS = r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
   FROM documents
 ), s AS (
-  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
-  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {words} - 1], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {words} + 1, 1) + 1)) AS i FROM d WHERE len(w) > 0)
 ), n AS (
   SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
 ), common AS (
@@ -135,7 +143,7 @@ WITH RECURSIVE d AS (
   FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL
 ), links AS (
   SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
-  WHERE 100 * c >= 75 * (x.n + y.n - c)
+  WHERE 100 * c >= {percent} * (x.n + y.n - c)
 ), edges AS (
   SELECT a, b FROM links UNION ALL SELECT b, a FROM links
 ), reach AS (
@@ -145,13 +153,16 @@ WITH RECURSIVE d AS (
 ), component AS (
   SELECT id, min(root) AS root FROM reach GROUP BY id
 )
-SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id,
-       coalesce(root, d.doc_id) = d.doc_id AS kept
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(root, d.doc_id) AS component_id{more}
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN component ON id = d.doc_id
 """
 
 
 
+def _components_sql(words: int, percent: int, more: str = "") -> str:
+    return _SHINGLE_COMPONENTS.replace("{words}", str(words)).replace("{percent}", str(percent)).replace("{more}", more)
+
+
 def _clusters_sql(rounds: int = 10) -> str:
     """The rounds written out: a{i} assigns to the centroids c{i}, c{i + 1} are their means."""
     def assigned(i: int) -> str:
@@ -235,8 +246,9 @@ FROM family JOIN below USING (d, p)
 """
 
 SQL: dict[str, str] = {
-    "op5_minhash_near_dedup": _NEAR_DUPLICATES,
+    "op5_minhash_near_dedup": _components_sql(5, 75, ", coalesce(root, d.doc_id) = d.doc_id AS kept"),
     "op10_voronoi_top_products": _TOP_PRODUCTS,
     "op11_threshold_clusters": _clusters_sql(),
     "op12_conversation_trie": _TRIE,
+    "op13_multi_order_join": _components_sql(4, 85),
 }
