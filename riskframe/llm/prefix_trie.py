@@ -39,7 +39,7 @@ from riskframe.llm.graph import saved, small_batches
 REBUILD_MOST = 6        # a rebuilt conversation borrows fewer turns than this
 PART = 1024             # turns of one conversation that a join meets under one key
 PIECE = 10_000          # ids joined to one text before hashing
-HOT_CHILDREN = 512      # children of a parent joined by key; beyond it (or a ten-thousandth of all) by broadcast
+HOT_CHILDREN = 64       # children of a parent joined by key; beyond it (or a ten-thousandth of all) by broadcast
 HOT_SHARE = 10_000
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 _ROOT = 0               # both halves of the root's name
