@@ -23,7 +23,8 @@
    equal, the whole chain or a part of it, is extended outward word by word
    with a drop limit and counts as a passage from ``MIN_WORDS`` words.
 
-The anchor keeps the passage; the other documents lose it.
+The anchor keeps the passage; the other documents lose it, but for words put
+in between that the anchor does not have.
 """
 
 from __future__ import annotations
@@ -299,6 +300,8 @@ def align(d: np.ndarray, a: np.ndarray, runs: list[tuple[int, int, int]]) -> lis
     A stretch of neighbouring runs has equal words (of the runs, and of the
     gaps between them) and a span (the longer side); all longest stretches
     with ``IDENTITY`` of the span equal are taken, the whole chain or parts.
+    A gap with more words in ``d`` than in ``a`` holds words that ``a`` lacks:
+    it is left out, so that no text is lost that its source does not have.
     """
     fitted: list[list[int]] = []  # p0, p1, q0, q1 of runs that advance on both sides
     for p0, p1, q0 in runs:
@@ -347,8 +350,12 @@ def align(d: np.ndarray, a: np.ndarray, runs: list[tuple[int, int, int]]) -> lis
         more = int((d[p0 - left:p0] == a[q0 - left:q0]).sum() + (d[p1:p1 + right] == a[q1:q1 + right]).sum())
         if equal + more - IDENTITY * (left + right) < -1e-9:
             left = right = 0
-        if p1 + right - p0 + left >= MIN_WORDS:
-            found.append((p0 - left, p1 + right))
+        spans = [[p0 - left, p1 + right]]
+        for (_, s0, _, s1), (t0, _, t1, _) in zip(fitted[k:last], fitted[k + 1:last + 1], strict=True):
+            if t0 - s0 > t1 - s1:  # words that the other text does not have: they stay
+                spans[-1][1], spans = s0, [*spans, [t0, spans[-1][1]]]
+        if sum(q - p for p, q in spans) >= MIN_WORDS:
+            found += [(p, q) for p, q in spans]
     return found
 
 
