@@ -19,7 +19,8 @@ the same documents are one. Buckets are not expanded into pairs: first every
 member is compared with the bucket's best connected member, which joins the
 near copies of one text; only buckets that still hold several components are
 compared member by member, in blocks of bounded size, where orders 2, 3 and 1
-are intersected before the full sets decide. Copies with equal sets are one
+are intersected before the full sets decide; a block holds what meets in many
+buckets, so a set travels a few times and not once a bucket. Copies with equal sets are one
 document throughout. The links left out join documents that other links join
 already, so the components are those of all links.
 """
@@ -39,7 +40,7 @@ from riskframe.llm.text import STEP, U64, mix, shingle_set, signed, slices, word
 SHINGLE = 4
 PERCENT = 85
 PART = 4096               # members of a class or pairs of a hub that a join meets under one key
-BLOCK_SHINGLES = 250_000  # set elements in one block of an open bucket
+BLOCK_SHINGLES = 250_000  # set elements in one block of a group of open buckets
 
 
 def _least(n):
@@ -208,10 +209,10 @@ class _Index:
 
 
 def _block_links(table: pa.Table) -> pa.Table:
-    """Links between components in one pair of blocks of a bucket.
+    """Links between components in one pair of blocks of a group.
 
-    Rows: token, i, j, side (0: block i, 1: block j), main, id, label, n,
-    members, second, third. Members of the bucket's main component (main)
+    Rows: g, i, j, side (0: block i, 1: block j), main, id, label, n,
+    members, second, third. Members of the group's main component (main)
     come in blocks of their own, which only meet the others'.
     """
     ids, label, side, n = (table.column(c).to_numpy() for c in ("id", "label", "side", "n"))
@@ -280,28 +281,45 @@ def _labels(edges: DataFrame) -> DataFrame:
 
 
 def _open_links(buckets: DataFrame, label: DataFrame, sets: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Links inside the buckets whose members are still in several components."""
+    """Links inside the buckets whose members are still in several components.
+
+    Components that meet in such buckets form a group. Its documents are laid
+    into blocks of bounded size, those with the same smallest open bucket
+    together, and two blocks are compared if a bucket has members in both: a
+    document travels once a block it meets, not once a bucket."""
     marked = buckets.filter("c > 2").join(label, "id", "left").select(
-        "token", "id", "c", F.coalesce("label", "id").alias("label"))  # two members: the hub's check was the only one
-    counts = marked.groupBy("token", "label").agg(F.count("*").alias("k"))
-    spans = counts.groupBy("token").agg(F.count("*").alias("labels"), F.max(F.struct("k", "label")).alias("top")).filter("labels > 1")
-    open_ = saved(marked.join(spans.select("token", F.col("top.label").alias("top")), "token")
-                  .select("token", "id", "label", (F.col("label") == F.col("top")).alias("main")), "open")
-    size = sets.groupBy("id").agg(F.sum("n").alias("size"))
-    sized = open_.join(size, "id")
-    blocks = sized.groupBy("token").agg(
-        F.greatest(F.ceil(F.sum(F.when(F.col("main"), F.col("size"))) / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("mains"),
+        "token", "id", F.coalesce("label", "id").alias("label"))  # two members: the hub's check was the only one
+    spans = (marked.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+             .filter("low < high").select("token", "low"))
+    open_ = saved(marked.join(spans, "token"), "open")
+    group = components(open_.select(F.col("low").alias("a"), F.col("label").alias("b")).distinct())
+    docs = (open_.groupBy("id").agg(F.min("token").alias("home"), F.min("label").alias("label"))
+            .join(group.select(F.col("id").alias("label"), F.col("component").alias("g")), "label")
+            .join(sets.groupBy("id").agg(F.sum("n").alias("size")), "id"))
+    docs = saved(docs, "members")
+    top = (docs.groupBy("g", "label").agg(F.count("*").alias("k")).groupBy("g")
+           .agg(F.max(F.struct("k", "label")).alias("top")).select("g", F.col("top.label").alias("top")))
+    crowded = docs.groupBy("g", "home").agg(F.sum("size").alias("all")).filter(F.col("all") > BLOCK_SHINGLES).select("g", "home")
+    docs = (docs.join(top, "g").join(crowded.withColumn("crowded", F.lit(True)), ["g", "home"], "left")
+            .select("g", "id", "label", "size", (F.col("label") == F.col("top")).alias("main"),
+                    F.when(F.col("crowded"), F.xxhash64("id")).otherwise(F.xxhash64("home")).alias("key")))
+    blocks = docs.groupBy("g").agg(
+        F.ceil(F.sum(F.when(F.col("main"), F.col("size"))) / BLOCK_SHINGLES).cast("int").alias("mains"),
         F.ceil(F.sum(F.when(~F.col("main"), F.col("size"))) / BLOCK_SHINGLES).cast("int").alias("rest"))
-    # Blocks 0.. hold the other components' members, the following ones the main component's;
+    # Blocks 0.. hold the other components' documents, the following ones the main component's;
     # the main ones meet the others, never each other.
-    h = F.xxhash64("id")
-    own = F.when(F.col("main"), F.col("rest") + F.pmod(h, F.col("mains"))).otherwise(F.pmod(h, F.col("rest"))).cast("int")
-    meets = F.sequence(F.lit(0), F.when(F.col("main"), F.col("rest") - 1).otherwise(F.col("rest") + F.col("mains") - 1))
-    placed = (sized.join(blocks, "token").withColumn("own", own).withColumn("other", F.explode(meets))
-              .select("token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-                      F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"), "main", "id", "label"))
-    rows = placed.join(sets.join(prefixes, ["id", "f1"]).drop("f1"), "id")
-    return saved(rows.groupBy("token", "i", "j").applyInArrow(_block_links, "a bigint, b bigint").distinct(), "more")
+    own = F.when(F.col("main"), F.col("rest") + F.pmod("key", F.col("mains"))).otherwise(F.pmod("key", F.col("rest"))).cast("int")
+    placed = saved(docs.join(blocks, "g").select("g", "id", "label", "main", own.alias("own")), "blocks")
+    spots = open_.select("token", "id").join(placed, "id").select("token", "g", "own", "main").distinct()
+    first, second = spots.alias("s"), spots.alias("t")
+    meet = (first.join(second, F.col("s.token") == F.col("t.token"))
+            .filter((F.col("s.own") <= F.col("t.own")) & ~(F.col("s.main") & F.col("t.main")))
+            .select("s.g", F.col("s.own").alias("i"), F.col("t.own").alias("j")).distinct())
+    sides = meet.withColumn("side", F.explode(F.when(F.col("i") == F.col("j"), F.array(F.lit(0))).otherwise(F.array(F.lit(0), F.lit(1)))))
+    sides = sides.withColumn("own", F.when(F.col("side") == 0, F.col("i")).otherwise(F.col("j")))
+    rows = (placed.join(sides, ["g", "own"]).select("g", "i", "j", "side", "main", "id", "label")
+            .join(sets.join(prefixes, ["id", "f1"]).drop("f1"), "id"))
+    return saved(rows.groupBy("g", "i", "j").applyInArrow(_block_links, "a bigint, b bigint").distinct(), "more")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
