@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, r6
+from .gram import column_means, doubles, gram, summed
 
 
 def bin_expr(c: Column, edges: Sequence[float]) -> Column:
@@ -66,12 +67,14 @@ def recommend(ranking: DataFrame, top_n: int) -> DataFrame:
                           (F.col("final_rank") <= F.lit(top_n)).alias("recommended"))
 
 
-def recommended_table(df: DataFrame, recommendation: DataFrame, label_col: str) -> DataFrame:
-    """the recommended feature set as a table (features + label). The
-    feature names (k rows) come to the driver to build the projection."""
+def recommended_table(df: DataFrame, recommendation: DataFrame, label_col: str,
+                      keep: Sequence[str] = ()) -> DataFrame:
+    """the recommended feature set as a table (kept columns, features in
+    rank order, label). The feature names (k rows) come to the driver to
+    build the projection."""
     names = [r["feature"] for r in recommendation.where("recommended")
              .orderBy("final_rank").collect()]
-    return df.select(*[col(n) for n in names], col(label_col))
+    return df.select(*[col(n) for n in [*keep, *names]], col(label_col))
 
 
 def field_dictionary(spark: SparkSession, recommendation: DataFrame,
@@ -85,56 +88,83 @@ def field_dictionary(spark: SparkSession, recommendation: DataFrame,
 
 # --- F8 -----------------------------------------------------------------------------
 
-def lasso_selection(df: DataFrame, features: Sequence[str], label: Column,
-                    alpha: float = 0.01, max_sweeps: int = 1_000_000,
-                    tol: float = 1e-12) -> DataFrame:
-    """F8: L1 linear regression on population-standardised features, the
-    usual objective 1/(2n) RSS + alpha |b|_1 with an intercept; a zero
-    coefficient drops the feature.
-
-    The objective depends on the data only through the k x k covariance of
-    the features and their covariance with the label, so the data is read
-    once: one aggregate of ``covar_pop`` over all pairs (map-side partials,
-    a one-row result). Coordinate descent then runs on that k x k system on
-    the driver, to a tight tolerance, with no further pass over the rows
-    (an iterative optimiser over the rows would scan them once per step and
-    stops early on collinear features). Rows with a null are left out."""
-    k = len(features)
-    data = df.select(*[col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(features)],
-                     label.cast("double").alias("_y")).dropna()
-    aggs = [F.covar_pop(f"_x{i}", f"_x{j}").alias(f"c{i}_{j}")
-            for i in range(k) for j in range(i, k)]
-    aggs += [F.covar_pop(f"_x{i}", "_y").alias(f"y{i}") for i in range(k)]
-    m = data.agg(*aggs).first()
-    cov = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            cov[i, j] = cov[j, i] = m[f"c{i}_{j}"] or 0.0
-    sd = np.sqrt(np.clip(np.diag(cov), 0.0, None))
-    live = sd > 0
-    scale = np.where(live, sd, 1.0)
-    # standardised Gram matrix and label covariances (constant columns: 0)
-    gram = cov / np.outer(scale, scale) * np.outer(live, live)
-    c = np.array([m[f"y{i}"] or 0.0 for i in range(k)]) / scale * live
-    b = np.zeros(k)
+def solve_lasso(corr: np.ndarray, c: np.ndarray, alpha: float, max_sweeps: int = 1_000_000,
+                tol: float = 1e-12) -> np.ndarray:
+    """Coordinate descent for 1/2 b'Rb - c'b + alpha |b|_1 on the k x k system
+    (zero rows of R: constant features, coefficient 0). Sweeps over all
+    features alternate with sweeps over the nonzero ones until they settle."""
+    b, live = np.zeros(len(c)), np.flatnonzero(np.diag(corr) > 0)
+    every = True
     for _ in range(max_sweeps):
         step = 0.0
-        for j in np.flatnonzero(live):
-            rho = c[j] - gram[j] @ b + gram[j, j] * b[j]
-            new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / gram[j, j]
+        for j in live if every else live[b[live] != 0]:
+            rho = c[j] - corr[j] @ b + corr[j, j] * b[j]
+            new = np.sign(rho) * max(abs(rho) - alpha, 0.0) / corr[j, j]
             step = max(step, abs(new - b[j]))
             b[j] = new
         if step <= tol:
-            break
-    else:
-        raise ValueError(f"lasso did not converge in {max_sweeps} sweeps")
-    coefs = [float(v) for v in b]
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [(f, v, abs(v), v != 0.0) for f, v in zip(features, coefs)],
+            if every:
+                return b
+            every = True  # settled on the nonzero ones: look at all again
+        else:
+            every = False
+    raise ValueError(f"lasso did not converge in {max_sweeps} sweeps")
+
+
+def lasso_selection(df: DataFrame, features: Sequence[str], label: Column,
+                    alpha: float = 0.01, max_sweeps: int = 1_000_000,
+                    tol: float = 1e-12) -> DataFrame:
+    """F8: L1 linear regression on population-standardised features, the
+    usual objective 1/(2n) RSS + alpha |b|_1 with an intercept; a zero
+    coefficient drops the feature. Returns (feature, coefficient, lasso,
+    selected); lasso is the coefficient's size.
+
+    The objective depends on the data only through the covariances of the
+    features and the label, so the rows are read for ``gram``'s tiles and
+    never again: hundreds of features are one pass. Coordinate descent runs
+    on the k x k system on the driver. Rows with a missing value (null, NaN
+    or infinity) are left out; constant features and tables without rows get
+    coefficient 0."""
+    names = [f"x{i}" for i in range(len(features))]
+    data = df.select(*[col(c).alias(n) for c, n in zip(features, names)], label.cast("double").alias("y"))
+    g = gram(data, [*names, "y"])
+    sd = np.sqrt(np.diag(g.cov)[:-1])
+    scale = np.where(sd > 0, sd, 1.0)
+    b = solve_lasso(g.cov[:-1, :-1] / np.outer(scale, scale), g.cov[:-1, -1] / scale, alpha, max_sweeps, tol)
+    return df.sparkSession.createDataFrame(
+        [(f, float(v), float(abs(v)), bool(v != 0.0)) for f, v in zip(features, b)],
         "feature string, coefficient double, lasso double, selected boolean")
 
 
+def lasso_certificate(df: DataFrame, features: Sequence[str], label: Column, solution: DataFrame,
+                      alpha: float = 0.01) -> DataFrame:
+    """Proof that ``solution`` is the lasso's: (feature, coefficient, gradient, gap).
+
+    ``gradient`` is the mean of standardised feature times residual, from the
+    residuals of the rows themselves (three passes, no pair sums).
+    Optimal means: equal to alpha with the coefficient's sign, or at most
+    alpha in size where the coefficient is 0; ``gap`` is by how much it fails."""
+    k, held = len(features), {r["feature"]: r["coefficient"] for r in solution.collect()}  # a row a feature
+    b = np.array([held[c] for c in features])
+    names = [f"x{i}" for i in range(k)]
+    data = doubles(df.select(*[col(c).alias(n) for c, n in zip(features, names)], label.cast("double").alias("y")), [*names, "y"])
+    mean = column_means(data, complete=True)
+    squares = summed(data, lambda x: np.append(((x - mean) ** 2).sum(axis=0), len(x)), k + 2)
+    rows = max(squares[-1], 1.0)
+    sd = np.sqrt(squares[:k] / rows)
+    scale = np.where(sd > 0, sd, 1.0)
+
+    def of(x: np.ndarray) -> np.ndarray:
+        z = (x[:, :k] - mean[:k]) / scale
+        return z.T @ (x[:, k] - mean[k] - z @ b)
+
+    g = summed(data, of, k) / rows
+    gap = np.where(b != 0, np.abs(g - alpha * np.sign(b)), np.maximum(np.abs(g) - alpha, 0.0))
+    return df.sparkSession.createDataFrame(
+        [(c, float(v), float(t), float(e)) for c, v, t, e in zip(features, b, g, gap)],
+        "feature string, coefficient double, gradient double, gap double")
+
+
 # --- F10 ----------------------------------------------------------------------------
 
 def pca_projection(df: DataFrame, vector_col: str, k: int = 2, key: str | None = None,

@@ -14,11 +14,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.expressions import col, pearson, present, sql_string
 from ..session import ensure_checkpoint_dir
+from . import gram
 from .ordered import ordered_prefix
 
 
@@ -83,11 +85,12 @@ def numeric_profile(df: DataFrame, columns: Sequence[str],
 def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFrame:
     """F1 per class: rows, share of all rows, and each feature's mean, in
     long form ``(label_value, n, share, feature, mean)``. One aggregate
-    grouped by class; the share is of the row count. Missing values (null, NaN) are left out of the means."""
+    grouped by class, read once; the share is of the row count, added up over
+    the classes. Missing values (null, NaN) are left out of the means."""
     aggs = [F.count(F.lit(1)).alias("n")] + [F.avg(present(col(c))).alias(f"m{i}")
                                              for i, c in enumerate(columns)]
     per = df.groupBy(col(label).alias("label_value")).agg(*aggs)
-    per = per.withColumn("share", F.col("n") / F.lit(df.count()))
+    per = per.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))  # a row a class
     parts = ", ".join(f"{sql_string(c)}, m{i}" for i, c in enumerate(columns))
     return per.selectExpr("label_value", "n", "share",
                           f"stack({len(columns)}, {parts}) AS (feature, mean)")
@@ -95,69 +98,51 @@ def class_profile(df: DataFrame, label: str, columns: Sequence[str]) -> DataFram
 
 # --- F2, F3, F7 ---------------------------------------------------------------------
 
-def _pair_sums(columns: int):
-    """Task function: sums over the rows where both of a pair are present, for all
-    pairs at once, as matrix products of the values and their presence."""
-    def run(batches):
-        import pyarrow as pa
-        total = np.zeros((6, columns, columns))
+def correlation_pairs(df: DataFrame, columns: Sequence[str], block: int = gram.BLOCK,
+                      tile_bytes: int = gram.TILE_BYTES) -> DataFrame:
+    """Pearson r for all pairs x <= y, long form ``(x, y, r)``, over the
+    rows where both are present (null, NaN and infinities are missing),
+    whatever the number of columns. Zero variance or fewer than two rows give
+    null.
+
+    One pass for the means and one for the tiles of ``gram``; a tile becomes
+    its pairs in the task that added it up."""
+    names, k = list(columns), len(columns)
+    block = gram.tile_side(k, block)
+    data = gram.doubles(df, columns)
+    sums = gram.pair_sums(data, gram.column_means(data), block, tile_bytes)
+    count = -(-k // block)
+    tiles = df.sparkSession.createDataFrame(  # a table without rows has its pairs too
+        [(i, j) for i in range(count) for j in range(i, count)], "i int, j int")
+
+    def pairs(batches):
         for batch in batches:
-            x = np.column_stack([batch.column(i).to_numpy(zero_copy_only=False) for i in range(columns)]).astype(float)
-            here = (~np.isnan(x)).astype(float)
-            x = np.where(here > 0, x, 0.0)
-            total += [here.T @ here, x.T @ here, here.T @ x, (x * x).T @ here, here.T @ (x * x), x.T @ x]
-        i, j = np.triu_indices(columns)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(t[i, j]) for t in total]],
-                                         names=["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"])
-    return run
-
+            for n in range(len(batch)):
+                a, b = batch.column(0)[n].as_py() * block, batch.column(1)[n].as_py() * block
+                s = batch.column(2)[n].values
+                r = (np.full((block, block), np.nan) if s is None else
+                     gram.tile_correlation(s.to_numpy().reshape(len(gram.SUMS), block, block)))
+                i, j = np.nonzero((np.arange(a, a + block)[:, None] <= np.arange(b, b + block)) &
+                                  (np.arange(a, a + block)[:, None] < k) & (np.arange(b, b + block) < k))
+                v = r[i, j]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([names[x] for x in i + a], pa.string()), pa.array([names[y] for y in j + b], pa.string()),
+                     pa.array(v, mask=np.isnan(v))], names=["x", "y", "r"])
 
-def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson r for all pairs x <= y, long form ``(x, y, r)``, over the
-    rows where both are present (null and NaN are missing), whatever the
-    number of columns. Zero variance or fewer than two rows give null.
-
-    One pass: a task adds up k x k matrices (values are moved by each
-    column's minimum first, so constant columns are exactly zero and large
-    offsets do not cancel), and k (k + 1) / 2 rows a task are summed."""
-    names = [f"_c{i}" for i in range(len(columns))]
-    data = df.select(*[present(col(c)).alias(n) for c, n in zip(columns, names)])
-    low = data.agg(*[F.min(n).alias(n) for n in names]).first()
-    moved = data.select(*[(F.col(n) - F.lit(low[n] if low[n] is not None else 0.0)).alias(n) for n in names])
-    schema = "i long, j long, n double, sx double, sy double, sxx double, syy double, sxy double"
-    none = df.sparkSession.createDataFrame(  # a table without partitions has its pairs too
-        [(i, j, *[0.0] * 6) for i in range(len(names)) for j in range(i, len(names))], schema)
-    sums = (moved.mapInArrow(_pair_sums(len(names)), schema).unionByName(none)
-            .groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "sx", "sy", "sxx", "syy", "sxy")]))
-    n = F.col("n")
-    # a variance below rounding noise of its sums is a constant column
-    var = lambda s, ss: F.when(n * F.col(ss) - F.col(s) * F.col(s) > 1e-12 * n * F.col(ss), n * F.col(ss) - F.col(s) * F.col(s))
-    r = F.try_divide(n * F.col("sxy") - F.col("sx") * F.col("sy"), F.sqrt(var("sx", "sxx")) * F.sqrt(var("sy", "syy")))
-    name = F.array(*[F.lit(c) for c in columns])
-    return sums.select(F.element_at(name, (F.col("i") + 1).cast("int")).alias("x"),
-                       F.element_at(name, (F.col("j") + 1).cast("int")).alias("y"), r.alias("r"))
-
-
-def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> np.ndarray:
-    """k x k correlation matrix on the driver (k^2 numbers, bounded)."""
-    k = len(columns)
-    m = np.eye(k)
-    idx = {c: i for i, c in enumerate(columns)}
-    for row in correlation_pairs(df, columns).collect():
-        i, j = idx[row["x"]], idx[row["y"]]
-        r = np.nan if row["r"] is None else row["r"]
-        m[i, j] = m[j, i] = r
-    np.fill_diagonal(m, 1.0)
-    return m
+    return tiles.join(sums, ["i", "j"], "left").select("i", "j", "sums").mapInArrow(pairs, "x string, y string, r double")
 
 
 def vif(spark: SparkSession, df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """VIF_j = (R^-1)_jj from the correlation matrix of complete rows.
-    The data pass is one distributed aggregate; only the k x k inverse runs
-    on the driver. A singular matrix gives null VIFs and ``singular``."""
-    complete = df.select(*[col(c) for c in columns]).dropna()
-    r = correlation_matrix(complete, columns)
-    singular = bool(np.isnan(r).any() or np.linalg.matrix_rank(r) < len(columns))
+    """VIF_j = (R^-1)_jj from the correlation matrix of complete rows
+    (null, NaN and infinities are missing). The passes over the data are
+    ``gram``'s; only the k x k inverse runs on the driver. A singular matrix,
+    a constant column or fewer than two rows give null VIFs and ``singular``."""
+    g = gram.gram(df, columns)
+    sd = np.sqrt(np.diag(g.cov))
+    singular = bool(g.n < 2 or (sd == 0).any())
+    if not singular:
+        r = np.clip(g.cov / np.outer(sd, sd), -1.0, 1.0)
+        singular = bool(np.linalg.matrix_rank(r) < len(columns))
     vals = [None] * len(columns) if singular else [float(v) for v in np.diag(np.linalg.inv(r))]
     return spark.createDataFrame(
         [(c, v, singular) for c, v in zip(columns, vals)],

@@ -15,8 +15,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       MultilayerPerceptronClassifier,
+from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
                                        RandomForestClassifier)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +25,7 @@ from pyspark.util import inheritable_thread_target
 from ..functions.constants import FEATURES_VEC
 from ..functions.expressions import col, present
 from ..sources.tables import path_exists
+from .newton import NewtonLogisticRegression
 from .scale import PopulationStandardScaler
 from .split import with_weights
 
@@ -58,14 +58,12 @@ REGISTRY = OrderedDict((s.key, s) for s in (
 DEFAULT_MODEL = "boosted_shallow"
 
 
-def _estimator(key: str, n_features: int, weight_total: float, seed: int,
-               max_iter_scale: float = 1.0):
+def _estimator(key: str, cols: Sequence[str], seed: int, max_iter_scale: float = 1.0):
     it = lambda n: max(1, int(round(n * max_iter_scale)))
     if key == "logistic":
-        # sklearn-style 1/2|b|^2 + C sum w*loss with C = 1  <=>  regParam = 1 / (C * sum w)
-        return LogisticRegression(featuresCol=FEATURES_VEC, labelCol=LABEL, weightCol=WEIGHT,
-                                  maxIter=it(2000), regParam=1.0 / max(weight_total, 1.0),
-                                  elasticNetParam=0.0, standardization=False)
+        # 1/2 |b|^2 + C * sum of w * loss with C = 1
+        return NewtonLogisticRegression(featureCols=list(cols), labelCol=LABEL, weightCol=WEIGHT,
+                                        penalty=1.0, maxIter=it(2000))
     if key == "random_forest":
         # 150 deep trees: keep node ids on the executors instead of shipping
         # the growing forest with every level pass (measured faster)
@@ -80,12 +78,12 @@ def _estimator(key: str, n_features: int, weight_total: float, seed: int,
                              maxDepth=5, stepSize=0.03, seed=seed)
     if key == "mlp":
         return MultilayerPerceptronClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL,
-                                              layers=[n_features, 256, 128, 64, 2],
+                                              layers=[len(cols), 256, 128, 64, 2],
                                               maxIter=it(1000), seed=seed)
     raise KeyError(f"unknown model {key!r}; known: {list(REGISTRY)}")
 
 
-def build_pipeline(key: str, features: Sequence[str], weight_total: float, seed: int = 42,
+def build_pipeline(key: str, features: Sequence[str], seed: int = 42,
                    max_iter_scale: float = 1.0) -> Pipeline:
     spec = REGISTRY[key]
     stages = []
@@ -95,33 +93,40 @@ def build_pipeline(key: str, features: Sequence[str], weight_total: float, seed:
         stages.append(PopulationStandardScaler(inputCols=cols, outputCols=scaled))
         cols = scaled
     stages.append(VectorAssembler(inputCols=cols, outputCol=FEATURES_VEC, handleInvalid="keep"))
-    stages.append(_estimator(key, len(features), weight_total, seed, max_iter_scale))
+    stages.append(_estimator(key, cols, seed, max_iter_scale))
     return Pipeline(stages=stages)
 
 
-def prepare_training(train: DataFrame, features: Sequence[str], label_col: str) -> tuple[DataFrame, float]:
+def prepare_training(train: DataFrame, features: Sequence[str], label_col: str,
+                     key_col: str | None = None) -> DataFrame:
     """T3 + T10: label as double, balanced weights, partitioned by size and
     cached once for all models (every estimator iterates over it).
 
     Missing features (null or NaN) are refused with their counts per column;
     rows without label are left out. The hash layout depends on the rows
-    only, so seeded fits do not change with the input's files."""
-    data = train.select(*features, train[label_col].cast("double").alias(LABEL)).where(F.col(LABEL).isNotNull())
+    only, so seeded fits do not change with the input's files. It is by
+    ``key_col``, a unique key, which deals out rows of equal features too;
+    without a key by the features, and equal rows go together."""
+    key = [col(key_col).alias("_key")] if key_col else []
+    data = (train.select(*key, *[col(c) for c in features], train[label_col].cast("double").alias(LABEL))
+            .where(F.col(LABEL).isNotNull()))
     gaps = data.agg(*[F.count_if(present(col(c)).isNull()).alias(f"n{i}") for i, c in enumerate(features)]).first()
     missing = {c: gaps[f"n{i}"] for i, c in enumerate(features) if gaps[f"n{i}"]}
     if missing:
         raise ValueError(f"features with missing values, impute or drop them first: {missing}")
-    data, total, rows = with_weights(data, LABEL, WEIGHT, with_rows=True)
+    data, _, rows = with_weights(data, LABEL, WEIGHT, with_rows=True)
     width = 8 * (len(features) + 2)
     target = max(1, -(-rows * width // TRAIN_PARTITION_BYTES))
-    data = data.repartition(target, *[col(c) for c in features]).sortWithinPartitions(*[col(c) for c in features])
-    return data.persist(StorageLevel.MEMORY_AND_DISK), total
+    by = [F.col("_key")] if key_col else [col(c) for c in features]
+    data = data.repartition(target, *by).sortWithinPartitions(*by)
+    return data.drop("_key").persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def train_models(train: DataFrame, features: Sequence[str], label_col: str,
                  keys: Sequence[str] | None = None, seed: int = 42,
                  max_iter_scale: float = 1.0,
-                 parallelism: int = FIT_PARALLELISM) -> dict[str, PipelineModel]:
+                 parallelism: int = FIT_PARALLELISM,
+                 key_col: str | None = None) -> dict[str, PipelineModel]:
     """Fit every registered model (or ``keys``) on one cached set.
 
     Each fit is a chain of small jobs (one per tree level, boosting round or
@@ -130,11 +135,11 @@ def train_models(train: DataFrame, features: Sequence[str], label_col: str,
     ``CrossValidator`` does; the scheduler interleaves their jobs. Results
     are independent of the order in which jobs run."""
     keys = list(keys or REGISTRY)
-    data, total = prepare_training(train, features, label_col)
+    data = prepare_training(train, features, label_col, key_col)
     spark = data.sparkSession
 
     def fit(key: str) -> PipelineModel:
-        return build_pipeline(key, features, total, seed, max_iter_scale).fit(data)
+        return build_pipeline(key, features, seed, max_iter_scale).fit(data)
 
     try:
         if parallelism <= 1 or len(keys) == 1:

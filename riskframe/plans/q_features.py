@@ -13,13 +13,18 @@ from pyspark.sql import functions as F
 from ..functions.expressions import code_map, r6, sig
 from ..operators import features as FT
 from ..operators import profile as PR
+from ..operators import sketches as SK
 from ..sources.tables import read_table
 from . import sqltext as S
 from .q_prep import LINESTATUS_CODE, MEASURES
 
 QTY_EDGES = (10.0, 25.0, 40.0)
 FEATURES = ("l_linestatus", "l_discount", "l_tax", "quantity_bin")
+KEYS = ("l_orderkey", "l_linenumber")
 TOP_N = 2
+ALPHA = 0.0005  # F8's penalty: small, as the bound features tell little of the label
+PAIR = ("l_quantity", "l_discount")  # F8 in closed form, against a dear line
+DEAR = 40_000.0
 # S6 display texts for the bound features
 DESCRIPTIONS = {
     "l_linestatus": "line still open (1) or fulfilled (0)",
@@ -32,7 +37,7 @@ DESCRIPTIONS = {
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     return li.select(
-        code_map(F.col("l_linestatus"), LINESTATUS_CODE).alias("l_linestatus"),
+        *KEYS, code_map(F.col("l_linestatus"), LINESTATUS_CODE).alias("l_linestatus"),
         "l_discount", "l_tax",
         FT.bin_expr(F.col("l_quantity"), QTY_EDGES).alias("quantity_bin"),
         (F.col("l_returnflag") == "R").cast("int").alias("label"))
@@ -49,6 +54,35 @@ def f1_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _r6(prof, "stddev", "q25", "q50", "q75")
 
 
+def f1_sketch_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F1 from sketches of two stages of lineitem, merged; counts and moments
+    are exact, estimates are held against exact counts of the data."""
+    li = read_table(spark, sf_dir, "lineitem")
+    stages = [SK.sketch_columns(li.where(F.col("l_linenumber") % 2 == i), MEASURES) for i in (0, 1)]
+    merged = SK.merge_sketches(*stages).checkpoint()
+    prof = SK.sketch_profile(merged)
+    ranks = (SK.rank_errors(li, prof).groupBy("feature")
+             .agg(F.max("rank_error").alias("worst")))
+    exact = li.agg(*[F.count_distinct(c).alias(c) for c in MEASURES]).unpivot([], list(MEASURES), "feature", "distinct")
+    return (prof.join(ranks, "feature").join(exact, "feature").select(
+        "feature", "n", "nulls", "min", "max", sig(F.col("mean")).alias("mean"), r6(F.col("stddev")).alias("stddev"),
+        (F.col("worst") <= 2 * SK.rank_error()).alias("ranks_within_bound"),
+        (F.abs(F.col("n_distinct") - F.col("distinct")) <= 4 * SK.distinct_error() * F.col("distinct"))
+        .alias("distinct_within_bound")))
+
+
+def f1_sketch_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of stages merge to what one sketch of all the rows says."""
+    li = read_table(spark, sf_dir, "lineitem")
+    parts = [SK.sketch_columns(li.where(F.col("l_returnflag") == f), MEASURES) for f in ("A", "N", "R")]
+    merged, whole = SK.sketch_profile(SK.merge_sketches(*parts)), SK.sketch_profile(SK.sketch_columns(li, MEASURES))
+    m, w = merged.alias("m"), whole.alias("w")
+    return m.join(w, F.col("m.feature") == F.col("w.feature")).select(
+        "m.feature", "m.n", sig(F.col("m.mean")).alias("mean"),
+        *[(F.col(f"m.{c}") == F.col(f"w.{c}")).alias(f"same_{c}") for c in ("n", "nulls", "min", "max", "n_distinct")],
+        (F.abs(F.col("m.stddev") - F.col("w.stddev")) <= 1e-9 * F.col("w.stddev")).alias("same_stddev"))
+
+
 def f1_class_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer")
     return _r6(PR.class_profile(cu, "c_mktsegment", ["c_acctbal"]), "share", "mean")
@@ -125,7 +159,9 @@ def ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FT.combined_ranking(
         {"chi2": scores.select("feature", "chi2"),
          "mutual_info": scores.select("feature", "mutual_info"),
-         "corr": PR.label_correlation(ft, F.col("label"), FEATURES)}, abs_scores=("corr",))
+         "corr": PR.label_correlation(ft, F.col("label"), FEATURES),
+         "lasso": FT.lasso_selection(ft, FEATURES, F.col("label"), ALPHA).select("feature", "lasso")},
+        abs_scores=("corr",))
 
 
 def f9_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,13 +172,40 @@ def f11_recommended(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FT.recommend(ranking(spark, sf_dir), TOP_N)
 
 
+def f11_full_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the full feature table, by line."""
+    return feature_table(spark, sf_dir)
+
+
+def f11_recommended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """the recommended feature table, un-pivoted (its columns depend on the ranking)."""
+    table = FT.recommended_table(feature_table(spark, sf_dir), FT.recommend(ranking(spark, sf_dir), TOP_N),
+                                 "label", KEYS)
+    features = [c for c in table.columns if c not in (*KEYS, "label")]
+    return table.select(*KEYS, "label", *[F.col(c).cast("double").alias(c) for c in features]).unpivot(
+        [*KEYS, "label"], features, "feature", "value")
+
+
 def s6_field_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FT.field_dictionary(spark, FT.recommend(ranking(spark, sf_dir), TOP_N), DESCRIPTIONS)
 
 
 def f8_lasso(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
-    return FT.lasso_selection(li, list(MEASURES), (F.col("l_returnflag") == "R").cast("int"))
+    return _r6(FT.lasso_selection(li, list(MEASURES), (F.col("l_returnflag") == "R").cast("int"), ALPHA), "coefficient", "lasso")
+
+
+def f8_lasso_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 of two features, which has a closed form."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return _r6(FT.lasso_selection(li, list(PAIR), (F.col("l_extendedprice") > DEAR).cast("int"), ALPHA), "coefficient", "lasso")
+
+
+def f8_lasso_certificate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F8 with the proof of its optimality from the rows' residuals."""
+    ft = feature_table(spark, sf_dir)
+    solution = FT.lasso_selection(ft, FEATURES, F.col("label"), ALPHA)
+    return _r6(FT.lasso_certificate(ft, FEATURES, F.col("label"), solution, ALPHA), "coefficient", "gradient", "gap")
 
 
 def f10_pca_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,6 +220,8 @@ def f10_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "f1_profile": f1_profile,
+    "f1_sketch_profile": f1_sketch_profile,
+    "f1_sketch_merge": f1_sketch_merge,
     "f1_class_profile": f1_class_profile,
     "f1_class_profile_lineitem": f1_class_profile_lineitem,
     "f2_correlation": f2_correlation,
@@ -169,8 +234,12 @@ QUERIES = {
     "f7_label_correlation": f7_label_correlation,
     "f9_ranking": f9_ranking,
     "f11_recommended": f11_recommended,
+    "f11_full_table": f11_full_table,
+    "f11_recommended_table": f11_recommended_table,
     "s6_field_dictionary": s6_field_dictionary,
     "f8_lasso": f8_lasso,
+    "f8_lasso_pair": f8_lasso_pair,
+    "f8_lasso_certificate": f8_lasso_certificate,
     "f10_pca_projection": f10_pca_projection,
     "f10_pca_variance": f10_pca_variance,
 }
@@ -179,7 +248,7 @@ QUERIES = {
 
 _bin = ("CAST(CASE WHEN l_quantity IS NULL THEN NULL WHEN l_quantity < 10.0 THEN 0 "
         "WHEN l_quantity < 25.0 THEN 1 WHEN l_quantity < 40.0 THEN 2 ELSE 3 END AS INTEGER)")
-_ft = (f"ft AS (SELECT {S.case_map('l_linestatus', LINESTATUS_CODE)} AS l_linestatus, "
+_ft = (f"ft AS (SELECT {', '.join(KEYS)}, {S.case_map('l_linestatus', LINESTATUS_CODE)} AS l_linestatus, "
        f"l_discount, l_tax, {_bin} AS quantity_bin, "
        "CAST(l_returnflag = 'R' AS INTEGER) AS label FROM lineitem)")
 _long = "long AS (" + " UNION ALL ".join(
@@ -204,17 +273,20 @@ _margins = (
     "lc AS (" + " UNION ALL ".join(f"SELECT '{f}' AS feature, corr({f}, label) AS corr FROM ft"
                                    for f in FEATURES) + ")")
 _rank = (
+    S.lasso("ft", FEATURES, "label", ALPHA) + ", "
     "sc AS (SELECT chi.feature, " + S.r6("chi2") + " AS s1, " + S.r6("mutual_info")
-    + " AS s2, " + S.r6("abs(corr)") + " AS s3 FROM chi JOIN mi ON chi.feature = mi.feature "
-    "JOIN lc ON chi.feature = lc.feature), "
+    + " AS s2, " + S.r6("abs(corr)") + " AS s3, " + S.r6("abs(coefficient)") + " AS s4 "
+    "FROM chi JOIN mi ON chi.feature = mi.feature JOIN lc ON chi.feature = lc.feature "
+    f"JOIN ({S.lasso_rows(FEATURES)}) la ON chi.feature = la.feature), "
     "rk AS (SELECT feature, CAST(rank() OVER (ORDER BY s1 DESC NULLS LAST) AS INTEGER) AS chi2_rank, "
     "CAST(rank() OVER (ORDER BY s2 DESC NULLS LAST) AS INTEGER) AS mutual_info_rank, "
-    "CAST(rank() OVER (ORDER BY s3 DESC NULLS LAST) AS INTEGER) AS corr_rank FROM sc), "
-    "rk2 AS (SELECT *, " + S.r6("(chi2_rank + mutual_info_rank + corr_rank) / 3.0")
+    "CAST(rank() OVER (ORDER BY s3 DESC NULLS LAST) AS INTEGER) AS corr_rank, "
+    "CAST(rank() OVER (ORDER BY s4 DESC NULLS LAST) AS INTEGER) AS lasso_rank FROM sc), "
+    "rk2 AS (SELECT *, " + S.r6("(chi2_rank + mutual_info_rank + corr_rank + lasso_rank) / 4.0")
     + " AS mean_rank FROM rk), "
     "ranking AS (SELECT *, CAST(row_number() OVER (ORDER BY mean_rank, feature) AS INTEGER) "
     "AS final_rank FROM rk2)")
-_bfeat = f"WITH {_ft}, {_long}, {_margins}"
+_bfeat = f"WITH RECURSIVE {_ft}, {_long}, {_margins}"
 
 
 def _profile_sql() -> str:
@@ -229,6 +301,38 @@ def _profile_sql() -> str:
     return " UNION ALL ".join(parts)
 
 
+def _sketch_profile_sql() -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, count({c}) AS n, count(*) FILTER (WHERE {c} IS NULL) AS nulls, "
+        f"min({c}) AS min, max({c}) AS max, " + S.sig(f"avg({c})") + " AS mean, " + S.r6(f"stddev_samp({c})")
+        + " AS stddev, true AS ranks_within_bound, true AS distinct_within_bound FROM lineitem" for c in MEASURES)
+
+
+def _sketch_merge_sql() -> str:
+    same = ", ".join(f"true AS same_{c}" for c in ("n", "nulls", "min", "max", "n_distinct", "stddev"))
+    return " UNION ALL ".join(f"SELECT '{c}' AS feature, count({c}) AS n, " + S.sig(f"avg({c})") + f" AS mean, {same} FROM lineitem"
+                              for c in MEASURES)
+
+
+def _lasso_sql(with_: str, rows: str) -> str:
+    return (f"WITH RECURSIVE {with_}, la AS ({rows}) SELECT feature, " + S.r6("coefficient") + " AS coefficient, "
+            + S.r6("abs(coefficient)") + " AS lasso, coefficient <> 0 AS selected FROM la")
+
+
+def _certificate_sql() -> str:
+    """The gradient from the correlations: c - R b."""
+    rows = []
+    for i, c in enumerate(FEATURES):
+        others = "".join(f" - r_{min(i, j)}_{max(i, j)} * b{j}" for j in range(len(FEATURES)) if j != i)
+        rows.append(f"SELECT '{c}' AS feature, b{i} AS coefficient, c{i} - b{i}{others} AS gradient "
+                    "FROM lasso_b, lasso_g WHERE it = 400")
+    gap = (f"CASE WHEN coefficient <> 0 THEN abs(gradient - {ALPHA} * sign(coefficient)) "
+           f"ELSE greatest(abs(gradient) - {ALPHA}, 0) END")
+    return (f"WITH RECURSIVE {_ft}, {S.lasso('ft', FEATURES, 'label', ALPHA)}, k AS ({' UNION ALL '.join(rows)}) "
+            "SELECT feature, " + S.r6("coefficient") + " AS coefficient, " + S.r6("gradient") + " AS gradient, "
+            + S.r6(gap) + " AS gap FROM k")
+
+
 def _corr_sql() -> str:
     cols = [*MEASURES, "is_returned"]
     src = "(SELECT *, CAST(l_returnflag = 'R' AS INTEGER) AS is_returned FROM lineitem)"
@@ -239,8 +343,26 @@ def _corr_sql() -> str:
 
 _desc_values = ", ".join(f"('{k}', '{v}')" for k, v in DESCRIPTIONS.items())
 
+_full = ", ".join([*KEYS, *FEATURES, "label"])
+
 SQL = {
     "f1_profile": _profile_sql(),
+    "f1_sketch_profile": _sketch_profile_sql(),
+    "f1_sketch_merge": _sketch_merge_sql(),
+    "f8_lasso": _lasso_sql(
+        "li AS (SELECT *, CAST(l_returnflag = 'R' AS INTEGER) AS y FROM lineitem), "
+        + S.lasso("li", MEASURES, "y", ALPHA), S.lasso_rows(MEASURES)),
+    "f8_lasso_pair": _lasso_sql(
+        f"li AS (SELECT *, CAST(l_extendedprice > {DEAR} AS INTEGER) AS y FROM lineitem), "
+        + S.lasso_pair("li", *PAIR, "y", ALPHA),
+        f"SELECT '{PAIR[0]}' AS feature, b0 AS coefficient FROM pair UNION ALL SELECT '{PAIR[1]}', b1 FROM pair"),
+    "f8_lasso_certificate": _certificate_sql(),
+    "f11_full_table": f"WITH {_ft} SELECT {_full} FROM ft",
+    "f11_recommended_table": (
+        f"{_bfeat}, {_rank}, long_ft AS ("
+        + " UNION ALL ".join(f"SELECT {', '.join(KEYS)}, label, '{f}' AS feature, CAST({f} AS DOUBLE) AS value FROM ft"
+                             for f in FEATURES)
+        + f") SELECT long_ft.* FROM long_ft JOIN ranking USING (feature) WHERE final_rank <= {TOP_N}"),
     "f1_class_profile": (
         "WITH per AS (SELECT c_mktsegment AS label_value, count(*) AS n, avg(c_acctbal) AS m0 "
         "FROM customer GROUP BY c_mktsegment) SELECT label_value, n, "

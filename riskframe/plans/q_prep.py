@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions.constants import RISK_TIERS, UNDETERMINED
 from ..functions.expressions import r6
@@ -15,7 +15,8 @@ from ..operators.report import tier_histogram
 from ..operators.scale import standardise
 from ..operators.score import LinearLogitScorer, score_frame
 from ..session import shared_path
-from ..sources.tables import StageStore, read_csv, read_table, require_rows, write_table
+from ..sources.tables import (StageStore, accepted, quarantined, read_csv, read_csv_checked,
+                              read_table, require_rows, write_table)
 from . import sqltext as S
 
 RETURNFLAG_CODE = {"R": 1, "N": 0}       # A -> null (about a third of rows)
@@ -31,6 +32,10 @@ LINEITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_q
 SLICE_COEFS = (1.5, 0.9)
 SLICE_INTERCEPT = -0.5
 
+CHECKED_COLUMNS = ("l_orderkey", "l_linenumber", "l_quantity", "l_suppkey", "l_tax")
+CHECKED_SCHEMA = StructType([StructField("l_orderkey", LongType()), StructField("l_linenumber", IntegerType()),
+                             StructField("l_quantity", DoubleType()), StructField("l_suppkey", LongType()),
+                             StructField("l_tax", DoubleType())])
 NATION_SCHEMA = StructType([StructField("n_nationkey", IntegerType()),
                             StructField("n_name", StringType()),
                             StructField("n_regionkey", IntegerType())])
@@ -54,6 +59,29 @@ def s4_stage_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.put("cleaned", read_table(spark, sf_dir, "region"))
 
 
+def _checked_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as CSV with some cells spoilt, read back with a quarantine."""
+    li = read_table(spark, sf_dir, "lineitem").select(*CHECKED_COLUMNS)
+    spoilt = li.select(
+        "l_orderkey", "l_linenumber",
+        F.when(F.col("l_orderkey") % 97 == 0, "forty").when(F.col("l_orderkey") % 89 == 0, "NA")
+        .otherwise(F.col("l_quantity").cast("string")).alias("l_quantity"),
+        F.when(F.col("l_orderkey") % 83 == 0, "12.5").otherwise(F.col("l_suppkey").cast("string")).alias("l_suppkey"),
+        F.col("l_tax").cast("string").alias("l_tax"))
+    path = write_table(spoilt, shared_path(spark, "lines-csv"), "csv")
+    return read_csv_checked(spark, path, CHECKED_SCHEMA)
+
+
+def s1_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a quarantine: the rows that are of their types."""
+    return accepted(_checked_lines(spark, sf_dir))
+
+
+def s1_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1 with a quarantine: the cells that are not, with their rows' keys."""
+    return quarantined(_checked_lines(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
 # --- P1-P5 -------------------------------------------------------------------
 
 def p1_encode_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,6 +156,8 @@ def slice_tier_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "s1_s3_csv_roundtrip": s1_s3_csv_roundtrip,
+    "s1_accepted": s1_accepted,
+    "s1_quarantined": s1_quarantined,
     "s4_stage_roundtrip": s4_stage_roundtrip,
     "p1_encode_flags": p1_encode_flags,
     "p2_encode_label": p2_encode_label,
@@ -171,6 +201,13 @@ _stats1, _ = _scaled_sql(["l_quantity"])
 
 SQL = {
     "s1_s3_csv_roundtrip": "SELECT n_nationkey, n_name, n_regionkey FROM nation",
+    "s1_accepted": (
+        "SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 89 <> 0 THEN l_quantity END AS l_quantity, l_suppkey, l_tax "
+        "FROM lineitem WHERE l_orderkey % 97 <> 0 AND l_orderkey % 83 <> 0"),
+    "s1_quarantined": (
+        "SELECT l_orderkey, l_linenumber, 'l_quantity' AS \"column\", 'forty' AS text, 'not a double' AS reason "
+        "FROM lineitem WHERE l_orderkey % 97 = 0 UNION ALL "
+        "SELECT l_orderkey, l_linenumber, 'l_suppkey', '12.5', 'not a whole number' FROM lineitem WHERE l_orderkey % 83 = 0"),
     "s4_stage_roundtrip": "SELECT * FROM region",
     "p1_encode_flags": f"SELECT l_orderkey, l_linenumber, {_rf} AS l_returnflag, "
                        f"{_ls} AS l_linestatus FROM lineitem",

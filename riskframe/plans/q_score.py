@@ -8,6 +8,9 @@ compares three fixed scorers: value / 500, that logistic, 1 - value / 500.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +18,12 @@ from ..functions.constants import (CONCLUSION_NEGATIVE, CONCLUSION_POSITIVE,
                                    RISK_TIERS, UNDETERMINED)
 from ..functions.expressions import logistic, r6
 from ..operators import metrics as M
+from ..operators.model_store import ModelStore
 from ..operators.report import prediction_summary, preview, tier_histogram
-from ..operators.score import LinearLogitScorer, score_frame
+from ..operators.scale import PopulationStandardScaler
+from ..operators.score import LinearLogitScorer, score_frame, score_records
+from ..operators.train import REGISTRY
+from ..session import shared_path
 from ..sources.tables import read_table
 from . import sqltext as S
 
@@ -81,6 +88,59 @@ def k6_score_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, write_table(scored, shared_path(spark, "scored") + ".csv", "csv"), kinds)
 
 
+# S5 with given coefficients: (scaled, coefficient, intercept, column written)
+STORED = {
+    "logistic": (True, 0.8, -0.3, "probability"),
+    "random_forest": (False, 1.0 / 90.0, -1.2, "prediction"),  # a model without probabilities
+    "boosted_deep": (False, EVENT_SLOPE, EVENT_INTERCEPT, "probability"),
+    "boosted_shallow": (False, 1.0 / 80.0, -1.0, "probability"),
+    "mlp": (True, -0.5, 0.1, "probability"),
+}
+FIRST_VERSION = ("boosted_deep", "mlp")  # the others fall back to the first of these
+
+
+def _stored_models(events: DataFrame) -> dict[str, PipelineModel]:
+    scaler = PopulationStandardScaler(inputCols=["value"], outputCols=["_z_value"]).fit(events)
+    return {key: PipelineModel([*([scaler] if scaled else []),
+                                LinearLogitScorer(featureCols=["_z_value" if scaled else "value"], coefficients=[slope],
+                                                  intercept=intercept, outputCol=out)])
+            for key, (scaled, slope, intercept, out) in STORED.items()}
+
+
+def s5_model_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 + K2-K4: two versions of the registered models saved, every key
+    asked of both (an absent one falls back), and the events scored with what
+    was loaded: the scaler goes with its models, and a model without
+    probabilities gives its prediction."""
+    ev = _labelled_events(spark, sf_dir)
+    models = _stored_models(ev)
+    store = ModelStore(spark, shared_path(spark, "models"))
+    store.save({k: models[k] for k in FIRST_VERSION}, ["value"], "label")
+    store.save(models, ["value"], "label")
+    out = []
+    for version in store.versions():
+        for key in REGISTRY:
+            used, model = store.load(key, version)
+            out.append(score_frame(model, ev, label_col="label", feature_cols=["value"], keep_cols=["event_id"]).select(
+                F.lit(version.number).alias("version"), F.lit(key).alias("asked"), F.lit(used).alias("used"), "*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def s5_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the current version of the model store says of itself."""
+    ev = _labelled_events(spark, sf_dir)
+    store = ModelStore(spark, shared_path(spark, "models"))
+    store.save(_stored_models(ev), ["value"], "label", note=f"{ev.count()} events")
+    return store.manifest().drop("version")
+
+
+def k5_score_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: records as dicts, one an event type (its mean value), through the batch path."""
+    means = read_table(spark, sf_dir, "events").groupBy("event_type").agg(r6(F.avg("value")).alias("value"))
+    records = [r.asDict() for r in means.collect()]  # a row an event type
+    return score_records(spark, event_scorer(), records, feature_cols=["value"], keep_cols=["event_type"])
+
+
 def g1_g2_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prediction_summary(scored_events(spark, sf_dir)).select(
         "n", "n_positive", "n_negative", r6(F.col("positive_rate_pct")).alias("positive_rate_pct"),
@@ -147,6 +207,9 @@ QUERIES = {
     "k1_score_events": k1_score_events,
     "k1_score_events_stream": k1_score_events_stream,
     "k6_score_csv": k6_score_csv,
+    "s5_model_store": s5_model_store,
+    "s5_manifest": s5_manifest,
+    "k5_score_records": k5_score_records,
     "g1_g2_summary": g1_g2_summary,
     "g3_g4_tier_histogram": g3_g4_tier_histogram,
     "g3_tier_histogram_exact": g3_tier_histogram_exact,
@@ -205,7 +268,41 @@ _long_cte = (
     "CASE met.model WHEN 'ratio' THEN 0 WHEN 'logit' THEN 1 WHEN 'complement' THEN 2 END) "
     "AS INTEGER) AS rank FROM met JOIN auc ON met.model = auc.model)")
 
+
+
+def _judged(p: str) -> str:
+    """The columns that scoring adds to an exact probability."""
+    return (f"round({p}, 4) AS probability, CAST({p} >= 0.5 AS INTEGER) AS pred_label, "
+            f"CASE WHEN {p} >= 0.5 THEN '{CONCLUSION_POSITIVE}' WHEN {p} < 0.5 THEN '{CONCLUSION_NEGATIVE}' END AS conclusion, "
+            f"{S.tier_case(p, RISK_TIERS, UNDETERMINED)} AS risk_tier")
+
+
+def _store_sql() -> str:
+    order = list(REGISTRY)
+    parts = []
+    for version, held in ((1, FIRST_VERSION), (2, order)):
+        for asked in order:
+            used = asked if asked in held else next(k for k in order if k in held)
+            scaled, slope, intercept, _ = STORED[used]
+            x = "z" if scaled else "CAST(value AS DOUBLE)"
+            parts.append(f"SELECT {version} AS version, '{asked}' AS asked, '{used}' AS used, event_id, value, label, "
+                         f"1.0 / (1.0 + exp(-(CAST({intercept!r} AS DOUBLE) + CAST({slope!r} AS DOUBLE) * {x}))) AS p FROM ev")
+    return (f"WITH ev AS (SELECT event_id, value, CAST(event_type IN ({_pos_list}) AS INTEGER) AS label, "
+            "(value - avg(value) OVER ()) / stddev_pop(value) OVER () AS z FROM events), "
+            f"s AS ({' UNION ALL '.join(parts)}) SELECT version, asked, used, event_id, value, {_judged('p')}, "
+            "label AS true_label, CAST(p >= 0.5 AS INTEGER) = label AS correct FROM s")
+
+
+_manifest_sql = " UNION ALL ".join(
+    f"SELECT '{k}' AS model, '{spec.name}' AS name, {i} AS place, {str(spec.needs_scaler).lower()} AS needs_scaler, "
+    "['value'] AS features, 'label' AS label, count(*) || ' events' AS note FROM events" for i, (k, spec) in enumerate(REGISTRY.items()))
+
 SQL = {
+    "s5_model_store": _store_sql(),
+    "s5_manifest": _manifest_sql,
+    "k5_score_records": (
+        "WITH m AS (SELECT event_type, " + S.r6("avg(value)") + " AS value FROM events GROUP BY event_type), "
+        f"s AS (SELECT event_type, value, {_p} AS p FROM m) SELECT event_type, value, {_judged('p')} FROM s"),
     "k1_score_events": f"WITH {_scored_cte} SELECT * FROM scored",
     "k1_score_events_stream": f"WITH {_scored_cte} SELECT * FROM scored",
     "k6_score_csv": f"WITH {_scored_cte} SELECT * EXCLUDE (true_label, correct) FROM scored",

@@ -14,12 +14,14 @@ from pyspark.sql import functions as F
 from ..functions.constants import SPLIT_SEED
 from ..functions.expressions import r6
 from ..operators import metrics as M
+from ..operators.newton import fit_logistic
 from ..operators.scale import PopulationStandardScaler
 from ..operators.score import positive_probability, score_frame
-from ..operators.split import class_weights, stratified_split, training_rows
+from ..operators.split import class_weights, stratified_split, training_rows, with_weights
 from ..operators.train import REGISTRY, train_models
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import read_table
+from . import sqltext as S
 
 LANGS = ("en", "de", "es", "fr")
 DOC_FEATURES = ("log_chars", "n_words", "n_lines", "mean_word_len", "unique_ratio",
@@ -110,7 +112,8 @@ def _split_docs(spark, sf_dir):
 def _scored(key: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         s = _split_docs(spark, sf_dir)
-        model = train_models(training_rows(s), list(DOC_FEATURES), "quality", [key])[key]
+        model = train_models(training_rows(s), list(DOC_FEATURES), "quality", [key],
+                             key_col="doc_id")[key]
         test = s.where(F.col("split") == "test").select("doc_id", "quality", *DOC_FEATURES)
         return score_frame(model, test, label_col="quality", feature_cols=[],
                            keep_cols=["doc_id"])
@@ -118,11 +121,29 @@ def _scored(key: str):
     return run
 
 
+NEWTON_FEATURES = ("log_chars", "is_en")
+
+
+def t5_newton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T5's solver on two standardised features, with balanced weights: the
+    coefficients, whose Newton steps plain SQL can repeat."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    rows = read_table(spark, sf_dir, "labels").select("doc_id", "quality").join(docs, "doc_id").select(
+        F.col("quality").cast("double").alias("y"), F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+        (F.col("lang") == "en").cast("double").alias("is_en")).dropna()
+    scaled = PopulationStandardScaler(inputCols=list(NEWTON_FEATURES)).fit(rows).transform(rows)
+    weighted = with_weights(scaled, "y", "w")[0]
+    fit = fit_logistic(weighted, NEWTON_FEATURES, "y", "w", penalty=1.0)
+    return spark.createDataFrame(
+        [("intercept", round(fit.intercept, 6))] + [(c, round(float(b), 6)) for c, b in zip(NEWTON_FEATURES, fit.coefficients)],
+        "term string, coefficient double").withColumn("converged", F.lit(fit.converged))
+
+
 def t10_evaluate_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T10 + E10: train every registered model on one cached training set,
     score the test split with each, evaluate all in one pass."""
     s = _split_docs(spark, sf_dir)
-    models = train_models(training_rows(s), list(DOC_FEATURES), "quality")
+    models = train_models(training_rows(s), list(DOC_FEATURES), "quality", key_col="doc_id")
     scored = s.where(F.col("split") == "test").select("doc_id", "quality", *DOC_FEATURES)
     keep = scored.columns
     for key, m in models.items():
@@ -141,6 +162,7 @@ QUERIES = {
     "t4_scaler_fit_on_train": t4_scaler_fit_on_train,
     "t1_split_labels": t1_split_labels,
     "t3_class_weights_labels": t3_class_weights_labels,
+    "t5_newton": t5_newton,
     "t5_logistic": _scored("logistic"),
     "t6_random_forest": _scored("random_forest"),
     "t7_boosted_deep": _scored("boosted_deep"),
@@ -165,7 +187,19 @@ _split_labels_sql = (
     "s AS (SELECT doc_id, quality, CASE WHEN r <= (n * 70) // 100 THEN 'train' "
     "WHEN r <= (n * 85) // 100 THEN 'val' ELSE 'test' END AS split FROM r)")
 
+_newton_sql = (
+    "WITH d AS (SELECT CAST(quality AS DOUBLE) AS y, ln(1 + CAST(n_chars AS DOUBLE)) AS a, "
+    "CAST(lang = 'en' AS DOUBLE) AS b FROM labels JOIN documents USING (doc_id) "
+    "WHERE quality IS NOT NULL AND n_chars IS NOT NULL AND lang IS NOT NULL), "
+    "rows_ AS (SELECT y, (a - avg(a) OVER ()) / stddev_pop(a) OVER () AS x1, "
+    "(b - avg(b) OVER ()) / stddev_pop(b) OVER () AS x2, "
+    "count(*) OVER () / ((SELECT count(DISTINCT y) FROM d) * count(*) OVER (PARTITION BY y)) AS w FROM d), "
+    + S.newton("rows_") + " SELECT term, " + S.r6("coefficient") + " AS coefficient, true AS converged FROM ("
+    "SELECT 'intercept' AS term, b0 AS coefficient FROM newton UNION ALL "
+    f"SELECT '{NEWTON_FEATURES[0]}', b1 FROM newton UNION ALL SELECT '{NEWTON_FEATURES[1]}', b2 FROM newton)")
+
 SQL = {
+    "t5_newton": _newton_sql,
     "t1_split_labels": f"{_split_labels_sql} SELECT doc_id, quality, split FROM s",
     "t3_class_weights_labels": (
         f"{_split_labels_sql}, c AS (SELECT quality, count(*) AS n FROM s WHERE split <> 'test' "

@@ -59,8 +59,8 @@ def preprocess(spark: SparkSession, source: DataFrame | str, schema: StructType
 
 def feature_stage(df: DataFrame, label_col: str, features: Sequence[str], top_n: int,
                   bins: dict | None = None) -> dict[str, DataFrame]:
-    """Stage B: count-table statistics and the combined ranking (F5-F7, F9),
-    the recommendation (F11) and both feature tables."""
+    """Stage B: count-table statistics, lasso and the combined ranking of the
+    four scores (F5-F9), the recommendation (F11) and both feature tables."""
     table = df
     if bins:
         table = df.withColumns({c: FT.bin_expr(col(c), edges) for c, edges in bins.items()})
@@ -69,7 +69,8 @@ def feature_stage(df: DataFrame, label_col: str, features: Sequence[str], top_n:
     ranking = FT.combined_ranking(
         {"chi2": scores.select("feature", "chi2"),
          "mutual_info": scores.select("feature", "mutual_info"),
-         "corr": PR.label_correlation(table, label, features)}, abs_scores=("corr",))
+         "corr": PR.label_correlation(table, label, features),
+         "lasso": FT.lasso_selection(table, features, label).select("feature", "lasso")}, abs_scores=("corr",))
     rec = FT.recommend(ranking, top_n)
     return {"ranking": ranking, "recommendation": rec,
             "features_full": df.select(*[col(c) for c in features], label),

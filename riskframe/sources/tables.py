@@ -5,10 +5,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (ByteType, DoubleType, FloatType, IntegerType, LongType, ShortType,
-                               StructType)
+                               StringType, StructField, StructType)
 
 from ..functions.constants import LABEL_COLUMN
 from ..functions.expressions import col
@@ -74,6 +74,65 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, null_value: str
     return nan_to_null(raw.select(*out))
 
 
+ROW, PROBLEMS = "_row", "_problems"
+
+
+def _checked(f, text: Column) -> tuple[Column, Column]:
+    """(value, reason): the text as the field's type, or null and why not."""
+    if isinstance(f.dataType, StringType):
+        return text, F.lit(None).cast("string")
+    if isinstance(f.dataType, (ByteType, ShortType, IntegerType, LongType)):
+        number = text.try_cast("decimal(38,9)")
+        whole = number == F.floor(number)  # "35.0" is the whole number 35
+        value = F.when(whole, number).try_cast(f.dataType)
+        reason = (F.when(text.isNotNull() & number.isNull(), "not a number")
+                  .when(~whole, "not a whole number").when(whole & value.isNull(), "out of range"))
+        return value, reason
+    value = text.try_cast(f.dataType)
+    return value, F.when(text.isNotNull() & value.isNull(), F.lit(f"not a {f.dataType.simpleString()}"))
+
+
+def read_csv_checked(spark: SparkSession, path: str, schema: StructType, null_value: str = "",
+                     extra_null_tokens: Iterable[str] = MISSING_TOKENS,
+                     optional: Iterable[str] = (LABEL_COLUMN,)) -> DataFrame:
+    """S1 that keeps what it cannot read: ``read_csv``'s typed columns, with
+    ``_row`` (the line, if it has another number of fields than the header)
+    and ``_problems`` (column, text, reason of each cell that is not of its
+    column's type). One read gives both; ``accepted`` and ``quarantined``
+    part them, and together they hold every row of the file."""
+    header = spark.read.option("header", True).csv(path).columns
+    optional, tokens = set(optional), list(extra_null_tokens)
+    missing = [f.name for f in schema.fields if f.name not in header and f.name not in optional]
+    if missing:
+        raise KeyError(f"{path} lacks the columns {missing}; it has {header}")
+    texts = StructType([StructField(c, StringType()) for c in [*header, ROW]])
+    raw = (spark.read.schema(texts).option("header", True).option("nullValue", null_value)
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", ROW).csv(path))
+    values, problems = [], []
+    for f in schema.fields:
+        if f.name in header:
+            text = F.when(~F.trim(col(f.name)).isin(tokens), col(f.name)) if tokens else col(f.name)
+            value, reason = _checked(f, text)
+            values.append(value.alias(f.name))
+            problems.append(F.when(reason.isNotNull(), F.struct(F.lit(f.name).alias("column"), col(f.name).alias("text"), reason.alias("reason"))))
+    shape = F.when(col(ROW).isNotNull(), F.struct(F.lit(None).cast("string").alias("column"), col(ROW).alias("text"),
+                                                  F.lit("another number of fields than the header").alias("reason")))
+    # a line of another width has no cells to trust: one problem, of the line
+    found = F.when(col(ROW).isNotNull(), F.array(shape)).otherwise(F.filter(F.array(*problems), lambda p: p.isNotNull()))
+    return nan_to_null(raw.select(*values, col(ROW), found.alias(PROBLEMS)))
+
+
+def accepted(checked: DataFrame) -> DataFrame:
+    """The rows without a problem, typed."""
+    return checked.where(F.size(PROBLEMS) == 0).drop(ROW, PROBLEMS)
+
+
+def quarantined(checked: DataFrame, keys: Iterable[str] = ()) -> DataFrame:
+    """The rejected rows: ``keys`` (columns that tell the row), and column, text, reason of each problem."""
+    return (checked.where(F.size(PROBLEMS) > 0)
+            .select(*[col(k) for k in keys], F.explode(PROBLEMS).alias("p")).select(*[col(k) for k in keys], "p.*"))
+
+
 def require_rows(df: DataFrame, what: str = "input") -> DataFrame:
     """Refuse an empty table. ``isEmpty`` runs a one-row job."""
     if df.isEmpty():
