@@ -337,12 +337,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every = saved(base.mapInArrow(_first_hashes, _SETS), "first")
     sets = every.filter("id is not null and n > 0")
     copies = _copies(sets)
-    single = sets.join(copies.select("id", "f1", "f2", "n"), ["id", "f1", "f2", "n"], "left_anti")
+    # Copies and survivors grow with the table: by merge at every size, never broadcast.
+    single = sets.join(copies.select("id", "f1", "f2", "n").hint("merge"), ["id", "f1", "f2", "n"], "left_anti")
     survivors = _hash_survivors(single)
-    texts = base.filter("id is not null").join(survivors, "id", "left_semi")
+    texts = base.filter("id is not null").join(survivors.hint("merge"), "id", "left_semi")
     # The whole table is read again, but only the remaining documents are cut into shingles.
     whole = saved(texts.mapInArrow(_whole_sets, "id bigint, f1 bigint, n bigint, members array<bigint>")
-                  .filter("n > 0").join(copies.select("id", "f1", "n"), ["id", "f1", "n"], "left_anti")
+                  .filter("n > 0").join(copies.select("id", "f1", "n").hint("merge"), ["id", "f1", "n"], "left_anti")
                   .dropDuplicates(["id", "f1", "n"]), "sets")
     prefixes = saved(_prefixes(whole), "prefixes")
     buckets = _buckets(prefixes)
