@@ -171,15 +171,16 @@ def pca_projection(df: DataFrame, vector_col: str, k: int = 2, key: str | None =
                    is_array: bool = True) -> tuple[DataFrame, DataFrame]:
     """centre + scale, then ``ml.feature.PCA`` (which does not centre
     by itself). Returns the k-d projection and ``(component, explained,
-    cumulative)``. Each component's sign is fixed so its largest loading is
-    positive (k x d numbers on the driver)."""
+    cumulative)``. Each component's sign is fixed so its largest loading (the
+    first of equally large ones) is positive (k x d numbers on the driver)."""
     src = df.select(*([col(key)] if key else []),
                     (array_to_vector(col(vector_col)) if is_array else col(vector_col)).alias("_v"))
     scaler = StandardScaler(inputCol="_v", outputCol="_z", withMean=True, withStd=True).fit(src)
     z = scaler.transform(src)
     model = PCA(k=k, inputCol="_z", outputCol="_pc").fit(z)
     pc = model.pc.toArray()
-    signs = np.sign(pc[np.abs(pc).argmax(axis=0), range(pc.shape[1])])
+    size = np.abs(pc)
+    signs = np.sign(pc[(size >= size.max(axis=0) - 1e-9).argmax(axis=0), range(pc.shape[1])])
     signs[signs == 0] = 1.0
     arr = vector_to_array(F.col("_pc"))
     proj = model.transform(z).select(*([col(key)] if key else []),

@@ -86,12 +86,12 @@ def training_rows(split_df: DataFrame, split_col: str = "split") -> DataFrame:
 
 def class_weights(df: DataFrame, label_col: str) -> DataFrame:
     """Balanced weights n / (k * n_c) per class: ``(label, n, weight)``
-    over the labelled rows; null labels are no class. One aggregate; the
-    two totals are numbers on the driver."""
+    over the labelled rows; null labels are no class. One plan: one
+    aggregate, and the totals over its rows (one a class)."""
     per = (df.where(col(label_col).isNotNull()).groupBy(col(label_col).alias("label"))
            .agg(F.count(F.lit(1)).alias("n")))
-    rows, classes = per.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    return per.select("label", "n", (F.lit(rows) / (F.lit(classes) * F.col("n"))).alias("weight"))
+    every = Window.partitionBy()
+    return per.select("label", "n", (F.sum("n").over(every) / (F.count(F.lit(1)).over(every) * F.col("n"))).alias("weight"))
 
 
 def with_weights(df: DataFrame, label_col: str, weight_col: str = "weight",

@@ -218,6 +218,24 @@ def f10_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return FT.pca_projection(emb, "embedding", k=2, key="vec_id")[1]
 
 
+PCA_PAIR = ("l_quantity", "l_tax")
+
+
+def _pca_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """F10 of two columns, which has a closed form."""
+    li = read_table(spark, sf_dir, "lineitem").select(
+        F.struct(*KEYS).alias("line"), F.array(*[F.col(c).cast("double") for c in PCA_PAIR]).alias("v"))
+    return FT.pca_projection(li, "v", k=2, key="line")
+
+
+def f10_pair_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _r6(_pca_pair(spark, sf_dir)[0].select("line.*", "pc1", "pc2"), "pc1", "pc2")
+
+
+def f10_pair_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _r6(_pca_pair(spark, sf_dir)[1], "explained", "cumulative")
+
+
 QUERIES = {
     "f1_profile": f1_profile,
     "f1_sketch_profile": f1_sketch_profile,
@@ -242,6 +260,8 @@ QUERIES = {
     "f8_lasso_certificate": f8_lasso_certificate,
     "f10_pca_projection": f10_pca_projection,
     "f10_pca_variance": f10_pca_variance,
+    "f10_pair_projection": f10_pair_projection,
+    "f10_pair_variance": f10_pair_variance,
 }
 
 # --- DuckDB twins -------------------------------------------------------------------
@@ -343,10 +363,21 @@ def _corr_sql() -> str:
 
 _desc_values = ", ".join(f"('{k}', '{v}')" for k, v in DESCRIPTIONS.items())
 
+# Two standardised columns have the components (1, sign r) and (1, -sign r), over the root of 2.
+_pca_pair_cte = ("g AS (SELECT avg({0}) AS ma, stddev_samp({0}) AS sa, avg({1}) AS mb, stddev_samp({1}) AS sb, corr({0}, {1}) AS r "
+                 "FROM lineitem)").format(*PCA_PAIR)
+
 _full = ", ".join([*KEYS, *FEATURES, "label"])
 
 SQL = {
     "f1_profile": _profile_sql(),
+    "f10_pair_variance": (
+        f"WITH {_pca_pair_cte} SELECT 1 AS component, " + S.r6("(1 + abs(r)) / 2") + " AS explained, "
+        + S.r6("(1 + abs(r)) / 2") + " AS cumulative FROM g UNION ALL SELECT 2, " + S.r6("(1 - abs(r)) / 2") + ", 1.0 FROM g"),
+    "f10_pair_projection": (
+        f"WITH {_pca_pair_cte}, z AS (SELECT l_orderkey, l_linenumber, ({PCA_PAIR[0]} - ma) / sa AS a, "
+        f"({PCA_PAIR[1]} - mb) / sb AS b, sign(r) AS s FROM lineitem, g) SELECT l_orderkey, l_linenumber, "
+        + S.r6("(a + s * b) / sqrt(2)") + " AS pc1, " + S.r6("(a - s * b) / sqrt(2)") + " AS pc2 FROM z"),
     "f1_sketch_profile": _sketch_profile_sql(),
     "f1_sketch_merge": _sketch_merge_sql(),
     "f8_lasso": _lasso_sql(

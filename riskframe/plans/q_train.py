@@ -15,7 +15,7 @@ from ..functions.constants import SPLIT_SEED
 from ..functions.expressions import r6
 from ..operators import metrics as M
 from ..operators.newton import fit_logistic
-from ..operators.scale import PopulationStandardScaler
+from ..operators.scale import PopulationStandardScaler, standardise_lazily
 from ..operators.score import positive_probability, score_frame
 from ..operators.split import class_weights, stratified_split, training_rows, with_weights
 from ..operators.train import REGISTRY, train_models
@@ -52,9 +52,8 @@ def t3_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def t4_scaler_fit_on_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = split_orders(spark, sf_dir)
-    model = PopulationStandardScaler(inputCols=["o_totalprice"]).fit(training_rows(s))
-    return model.transform(s).select("o_orderkey", "split",
+    s = split_orders(spark, sf_dir).checkpoint()  # the split is made once, for the fit and for all rows
+    return standardise_lazily(s, ["o_totalprice"], training_rows(s)).select("o_orderkey", "split",
                                      r6(F.col("o_totalprice")).alias("o_totalprice"))
 
 
