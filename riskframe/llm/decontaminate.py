@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import small_batches
+from riskframe.llm.graph import free_name, small_batches
 from riskframe.llm.text import U64, shingle_hashes, signed, slices, words
 
 SHINGLE = 5
@@ -209,5 +209,6 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that contain a benchmark item; rows without id stay."""
-    found = leaked_items(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("__leak")).distinct()
-    return docs.join(found, F.col(id_col) == F.col("__leak"), "left_anti")
+    leak = free_name("__leak", docs.columns)
+    found = leaked_items(docs, benchmark, id_col, text_col).select(F.col(id_col).alias(leak)).distinct()
+    return docs.join(found, F.col(id_col) == F.col(leak), "left_anti")

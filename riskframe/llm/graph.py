@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,14 @@ BATCH_BYTES = 8 << 20
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def free_name(name: str, columns: Iterable[str]) -> str:
+    """``name``, with underscores added until none of ``columns`` has it (case does not count)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def small_batches(df: DataFrame) -> DataFrame:
     """Bound the Arrow batches of this session to ``BATCH_BYTES`` (Spark's default is 64
     MB, held by the JVM and by the worker at once); a smaller setting stays. Returns ``df``."""

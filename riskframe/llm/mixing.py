@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved
+from riskframe.llm.graph import free_name, saved
 
 WEIGHTS = (5, 2, 1)
 MOST = 3           # times a source's size its target can be
@@ -74,13 +74,6 @@ def split_quotas(units: np.ndarray, shards: int, rng: np.random.Generator) -> np
     return np.concatenate((split_quotas(left, half, rng), split_quotas(units - left, shards - half, rng)))
 
 
-def _free(name: str, columns: list[str]) -> str:
-    low = {c.lower() for c in columns}
-    while name.lower() in low:
-        name += "_"
-    return name
-
-
 def with_draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
                weights: tuple[float, ...] = WEIGHTS, shards: int = SHARDS, seed: int = SEED) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with its size in words, its source's size and target, and its draws, an
@@ -93,7 +86,8 @@ def with_draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``docs``.
     """
     spark = docs.sparkSession
-    name = {k: _free(f"mix_{k}", docs.columns) for k in ("size", "source_size", "target", "draws", "hash", "key")}
+    name = {k: free_name(f"mix_{k}", docs.columns) for k in ("size", "source_size", "target", "draws", "hash", "key")}
+    held = free_name("__plan", docs.columns)
     rows = docs.withColumns({name["size"]: word_count(text_col), name["hash"]: F.xxhash64(F.lit(seed), id_col, text_col),
                              name["key"]: F.col(source_col).cast("string")})
     narrow = saved(rows.select(F.col(name["key"]).alias("source"), F.col(name["size"]).alias("size"),
@@ -171,25 +165,25 @@ def with_draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   .groupBy("source").agg(F.map_from_entries(F.collect_list(F.struct("block", F.struct("part", "units")))).alias("blocks")))
     small = saved(plan.join(per_source.withColumnRenamed("source", "b_source"), F.col("source").eqNullSafe(F.col("b_source")))
                   .join(ends, F.col("source").eqNullSafe(F.col("e_source")), "left")
-                  .select(F.struct("source", "source_size", "target", "passes", "blocks", "e_block", "s_sub", "cut", "one").alias("__plan")), "plan")
+                  .select(F.struct("source", "source_size", "target", "passes", "blocks", "e_block", "s_sub", "cut", "one").alias(held)), "plan")
     if len(totals) <= SMALL_PLAN:
         small = F.broadcast(small)
-    joined = rows.join(small, F.col(name["key"]).eqNullSafe(F.col("__plan.source")), "left")
+    joined = rows.join(small, F.col(name["key"]).eqNullSafe(F.col(f"{held}.source")), "left")
     h = F.col(name["hash"])
     block, sub = h.bitwiseAND(BLOCKS - 1).cast("int"), F.shiftrightunsigned(h, 8).bitwiseAND(SUB_BLOCKS - 1).cast("int")
-    here = F.element_at(F.col("__plan.blocks"), block)
-    s_sub = F.col("__plan.s_sub")
+    here = F.element_at(F.col(f"{held}.blocks"), block)
+    s_sub = F.col(f"{held}.s_sub")
     more = (here["part"] == 2) | ((here["part"] == 1) & (
-        F.when(s_sub.isNull(), F.lit(True)).otherwise((sub < s_sub) | ((sub == s_sub) & F.coalesce(h <= F.col("__plan.cut"), F.lit(False))))))
-    mine = F.filter(F.coalesce(here["units"], F.array()), lambda u: (u["pass"] < F.col("__plan.passes")) | more)
+        F.when(s_sub.isNull(), F.lit(True)).otherwise((sub < s_sub) | ((sub == s_sub) & F.coalesce(h <= F.col(f"{held}.cut"), F.lit(False))))))
+    mine = F.filter(F.coalesce(here["units"], F.array()), lambda u: (u["pass"] < F.col(f"{held}.passes")) | more)
     # The fitting document goes where the unit of its source's last block goes.
-    edge_units = F.element_at(F.col("__plan.blocks"), F.col("__plan.e_block"))["units"]
-    mine = F.when(F.coalesce(h == F.col("__plan.one"), F.lit(False)),
-                  F.concat(mine, F.filter(edge_units, lambda u: u["pass"] == F.col("__plan.passes")))).otherwise(mine)
+    edge_units = F.element_at(F.col(f"{held}.blocks"), F.col(f"{held}.e_block"))["units"]
+    mine = F.when(F.coalesce(h == F.col(f"{held}.one"), F.lit(False)),
+                  F.concat(mine, F.filter(edge_units, lambda u: u["pass"] == F.col(f"{held}.passes")))).otherwise(mine)
     draws = F.transform(mine, lambda u: F.struct(u["pass"].alias("pass"), u["shard"].alias("shard"),
                                                  F.xxhash64(h, u["pass"], u["shard"], F.lit(seed + 3)).alias("order")))
-    out = joined.withColumns({name["source_size"]: F.col("__plan.source_size"), name["target"]: F.col("__plan.target"),
-                              name["draws"]: draws}).drop("__plan", name["hash"], name["key"])
+    out = joined.withColumns({name["source_size"]: F.col(f"{held}.source_size"), name["target"]: F.col(f"{held}.target"),
+                              name["draws"]: draws}).drop(held, name["hash"], name["key"])
     return out, name
 
 
@@ -199,9 +193,10 @@ def mixture(docs: DataFrame, **options) -> DataFrame:
     partition a group of shards, shuffled inside each shard."""
     drawn, name = with_draws(docs, **options)
     columns = list(docs.columns)
-    made = {k: _free(f"mix_{k}", columns) for k in ("pass", "shard", "order")}
-    rows = (drawn.select(*[F.col(f"`{c}`") for c in columns], F.explode(name["draws"]).alias("__d"))
-            .select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"__d.{k}").alias(v) for k, v in made.items()]))
+    made = {k: free_name(f"mix_{k}", columns) for k in ("pass", "shard", "order")}
+    draw = free_name("__d", columns)
+    rows = (drawn.select(*[F.col(f"`{c}`") for c in columns], F.explode(name["draws"]).alias(draw))
+            .select(*[F.col(f"`{c}`") for c in columns], *[F.col(f"{draw}.{k}").alias(v) for k, v in made.items()]))
     return rows.repartition(F.col(made["shard"])).sortWithinPartitions(made["shard"], made["order"])
 
 

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import components, saved, small_batches
+from riskframe.llm.graph import components, free_name, saved, small_batches
 from riskframe.llm.text import STEP, U64, mix, seeds, shingle_set, signed, slices, words
 
 SHINGLE = 5
@@ -266,10 +266,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows without id are all kept.
     """
     found = near_duplicates(docs, id_col, text_col)
-    keep = found.filter(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias("__keep")).distinct()
-    own = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col("__keep"), "left_semi")
-    twice = (found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("__c"))
-             .filter("__c > 1").select(F.col(id_col).alias("__twice")))
-    once = own.join(twice, F.col(id_col) == F.col("__twice"), "left_anti")
-    again = own.join(twice, F.col(id_col) == F.col("__twice"), "left_semi").dropDuplicates([id_col, text_col])
+    kept, again_id = free_name("__keep", docs.columns), free_name("__twice", docs.columns)
+    keep = found.filter(F.col("kept") & F.col(id_col).isNotNull()).select(F.col(id_col).alias(kept)).distinct()
+    own = docs.filter(F.col(id_col).isNotNull()).join(keep, F.col(id_col) == F.col(kept), "left_semi")
+    twice = (found.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count("*").alias("rows"))
+             .filter("rows > 1").select(F.col(id_col).alias(again_id)))
+    once = own.join(twice, F.col(id_col) == F.col(again_id), "left_anti")
+    again = own.join(twice, F.col(id_col) == F.col(again_id), "left_semi").dropDuplicates([id_col, text_col])
     return once.unionByName(again).unionByName(docs.filter(F.col(id_col).isNull()))

@@ -22,7 +22,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved, small_batches
+from riskframe.llm.graph import free_name, saved, small_batches
 from riskframe.llm.text import shingle_hashes, slices, words
 
 SAMPLE = 20_000   # labelled documents used for fitting, at most; scoring and statistics cover all
@@ -192,8 +192,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, use: Column | None = None,
 def scored(docs: DataFrame, model: RuleEnsemble, text_col: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with a score in [0, 1] for every row, empty and null texts included."""
     names = list(docs.columns)
-    return (docs.withColumn("__stats", statistics_column(text_col))
-            .select(*[F.col(f"`{c}`") for c in names], model.score("__stats").alias(out)))
+    stats = free_name("__stats", names)
+    return (docs.withColumn(stats, statistics_column(text_col))
+            .select(*[F.col(f"`{c}`") for c in names], model.score(stats).alias(out)))
 
 
 def learn_fold(key: Column) -> Column:
@@ -204,7 +205,8 @@ def learn_fold(key: Column) -> Column:
 def high_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that the classifier accepts (score 0.5 or more)."""
     model = fit(saved(training_rows(docs, labels, learn_fold(F.col("key")), id_col, text_col), "train"))
-    return scored(docs, model, text_col, "__score").filter("__score >= 0.5").select(*[F.col(f"`{c}`") for c in docs.columns])
+    score = free_name("__score", docs.columns)
+    return scored(docs, model, text_col, score).filter(F.col(score) >= 0.5).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

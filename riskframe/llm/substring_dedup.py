@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.graph import saved, small_batches
+from riskframe.llm.graph import free_name, saved, small_batches
 from riskframe.llm.text import shingle_hashes, signed, slices, words
 
 KMER = 8
@@ -513,14 +513,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """``docs`` without the repeated passages: texts cut, all columns and rows kept
     but for documents of which no word is left, which go. ``length_col``, where
     the table has it, is set to the new length of a text that was cut."""
+    own_id, version, kept, gone = (free_name(n, docs.columns) for n in ("__id", "__version", "__kept", "__gone"))
     cut = repeated_passages(docs, id_col, text_col).select(
-        F.col("id").alias("__id"), F.col("version").alias("__version"), F.col("kept").alias("__kept"),
-        (F.col("n_words") == F.col("removed")).alias("__gone"))
-    joined = docs.join(cut, (F.col(id_col) == F.col("__id")) & (F.xxhash64(text_col) == F.col("__version")), "left")
-    changed = F.col("__kept").isNotNull()
-    out = {text_col: F.when(changed, F.col("__kept")).otherwise(F.col(text_col))}
+        F.col("id").alias(own_id), F.col("version").alias(version), F.col("kept").alias(kept),
+        (F.col("n_words") == F.col("removed")).alias(gone))
+    joined = docs.join(cut, (F.col(id_col) == F.col(own_id)) & (F.xxhash64(text_col) == F.col(version)), "left")
+    changed = F.col(kept).isNotNull()
+    out = {text_col: F.when(changed, F.col(kept)).otherwise(F.col(text_col))}
     if length_col and length_col in docs.columns:
         kind = docs.schema[length_col].dataType
-        out[length_col] = F.when(changed, F.char_length("__kept").cast(kind)).otherwise(F.col(length_col))
-    return joined.filter(~F.coalesce("__gone", F.lit(False))).select(
+        out[length_col] = F.when(changed, F.char_length(kept).cast(kind)).otherwise(F.col(length_col))
+    return joined.filter(~F.coalesce(gone, F.lit(False))).select(
         *[out.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])

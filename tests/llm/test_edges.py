@@ -16,6 +16,7 @@ from riskframe.llm.substring_dedup import passage_rows, remove_repeats
 from riskframe.llm.url_filter import judged
 
 CLASH = ["id", "label", "score", "n", "key", "version", "word", "size", "component_id", "kept", "removed", "passages",
+         "__keep", "__twice", "__leak", "__id", "__version", "__kept", "__gone", "__stats", "__score", "__plan", "__d",
          "target", "host", "seed", "mix_shard", "mix_draws", "tail", "rule", "stats", "anchor", "item", "path", "Mix_Pass"]
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, " + ", ".join(f"`{c}` string" for c in CLASH)
 LONG = " ".join(f"w{i % 9973}x{i}" for i in range(60_000))
@@ -187,3 +188,19 @@ def test_pipeline_stages(spark, messy, empty, labels, benchmark, tmp_path):
             else:
                 assert out.columns == columns and out.count() <= before
             docs = out if name not in ("quality_classifier", "source_mixing") else docs
+
+
+def test_words_that_occur_once_have_a_score(spark):
+    rows = [(i, f"own{i}a own{i}b own{i}c own{i}d", "en", "a") for i in range(12)]
+    for table in (rows, [(1, "a b c", "en", "a")]):
+        found = scores(_docs(spark, table)).collect()
+        assert len(found) == len(table)
+        assert all(r["score"] < 0 and abs(r["score"]) < 1e6 and abs(r["base_score"]) < 1e6 for r in found)
+
+
+def test_words_put_into_a_passage_stay(spark):
+    x, y, q = ([f"{n}{i}" for i in range(k)] for n, k in (("x", 120), ("y", 120), ("q", 55)))
+    table = [(1, " ".join(x + y), "en", "a"), (2, " ".join(x + q + y), "en", "a"), (3, " ".join(x + q + y), "en", "a")]
+    left = {r["doc_id"]: r["text"] for r in remove_repeats(_docs(spark, table)).collect()}
+    assert left[1].split() == x + y and left[2].split() == q
+    assert sum(t.count("q7 ") for t in left.values()) == 1
