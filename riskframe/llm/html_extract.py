@@ -2,9 +2,11 @@
 
 A page is cut into text lines (one a block). Lines inside ``article`` or
 ``main`` are text; lines inside menus, headers, footers, sidebars, notices,
-adverts, forms and comments, told by tag, role, class or id, are not. The
-rest is undecided: it is text unless a neighbour has it too. Pages of a
-host are sorted by URL path; each is paired with the page before and after
+adverts, forms and comments, told by tag, role, class or id, are not. Names
+never mark headings, the article or what surrounds it; inside it a class has
+to be a name as a whole, and one that holds a name leaves its lines
+undecided. Where a page has no article, all other lines are undecided. An
+undecided line is text unless a neighbour has it too. Pages of a host are sorted by URL path; each is paired with the page before and after
 it, the lines of both are aligned by longest common subsequence, and shared
 lines go. Equal pages of one path count once, and a pair that shares nine
 tenths of its characters or more is two copies of one page, which tells
@@ -39,10 +41,11 @@ PARTITION_PAGES = 20_000
 SAME_PAGE = 0.9    # share of characters in common from which two pages are copies
 
 # Elements and names that mark what a line is.
-_RAW = "script style noscript template textarea iframe svg math title object audio video canvas"
+_RAW = "script style noscript template textarea iframe svg annotation title object audio video canvas"
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rt rp s samp "
-              "small span strike strong sub sup time tt u var wbr nobr img".split())
+              "small span strike strong sub sup time tt u var wbr nobr img "
+              "math mi mn mo ms mrow msup msub msubsup mfrac msqrt mroot mtext munder mover semantics".split())
 _BOILERPLATE = set("nav footer aside form button select option optgroup menu dialog fieldset datalist".split())
 _TEXT = {"article", "main"}
 _NAMES = set("ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion "
@@ -50,6 +53,8 @@ _NAMES = set("ad ads adv advert adverts advertisement advertisements advertising
              "nav navbar navigation navigations breadcrumb breadcrumbs footer header masthead topbar comment comments "
              "commentlist respond reply replies disqus share sharing social related recommended widget widgets popup "
              "modal overlay toolbar login pagination pager copyright legal skip search".split())
+_COMMENTS = set("comment comments commentlist respond reply replies disqus".split())
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 _ROLES = set("navigation banner contentinfo complementary search form menu menubar alert dialog alertdialog toolbar".split())
 
 _TOKEN = re.compile(
@@ -61,38 +66,60 @@ _MARKS = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([
 _PART = re.compile(r"[^a-z0-9]+")
 
 
-def _marked_boilerplate(tag: str, attrs: str, inside_text: bool) -> bool:
+# What marks say of an element: nothing, undecided, boilerplate unless it surrounds the article, boilerplate.
+_CLEAR, _DOUBT, _NAMED, _OUT = range(4)
+
+
+def _mark(tag: str, attrs: str, inside_text: bool) -> int:
     if tag in _BOILERPLATE or (tag == "header" and not inside_text):
-        return True
-    if not attrs or tag in ("body", "html", "main") or "=" not in attrs:
-        return False
+        return _OUT
+    if not attrs or "=" not in attrs or tag in ("body", "html", "main") or (tag == "article" and not inside_text):
+        return _CLEAR
+    found = _CLEAR
     for kind, *values in _MARKS.findall(attrs):
-        value = "".join(values).lower()
-        if kind.lower() == "role":
+        kind, value = kind.lower(), "".join(values).lower()
+        if kind == "role":
             if value.strip() in _ROLES:
-                return True
-        elif any(x in _NAMES for x in _PART.split(value)):
-            return True
-    return False
-
-
-def text_lines(page: str) -> tuple[list[tuple[str, bool]], bool]:
-    """((line, inside article or main) without marked boilerplate, whether the page marks its text)."""
-    out: list[tuple[str, bool]] = []
+                return _OUT
+            continue
+        if tag in _HEADINGS:
+            continue
+        whole = set(value.split())
+        if not inside_text:
+            if whole & _NAMES or kind == "class" and any(x in _NAMES for x in _PART.split(value)):
+                found = max(found, _NAMED)
+            elif any(x in _NAMES for x in _PART.split(value)):
+                found = max(found, _DOUBT)
+        elif kind == "class":
+            if whole & _NAMES:
+                return _OUT
+            if any(x in _NAMES for x in _PART.split(value)):
+                found = max(found, _DOUBT)
+        elif whole & _COMMENTS or (whole & _NAMES and tag not in ("p", "section")):
+            return _OUT
+        elif whole & _NAMES:
+            found = max(found, _DOUBT)
+    return found
+
+
+#: What becomes of a line: it goes, is undecided, or is text.
+DROPPED, UNDECIDED, TEXT = range(3)
+
+
+def text_lines(page: str) -> list[tuple[str, int]]:
+    """(line, fate) of every line that is not marked as boilerplate."""
+    out: list[tuple[str, bool, int]] = []      # line, inside the article, mark
     held: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: tag, boilerplate, text
-    marked = False
-
-    def state() -> tuple[bool, bool]:
-        return (stack[-1][1], stack[-1][2]) if stack else (False, False)
+    stack: list[tuple[str, int, bool]] = []    # open elements: tag, mark, inside article or main
+    state = lambda: (stack[-1][1], stack[-1][2]) if stack else (_CLEAR, False)
 
     def flush() -> None:
         if held:
             line = " ".join(html.unescape("".join(held)).split())
             held.clear()
-            skip, text = state()
-            if line and not skip:
-                out.append((line, text))
+            mark, text = state()
+            if line and mark < _OUT:
+                out.append((line, text, mark))
 
     at = 0
     for m in _TOKEN.finditer(page):
@@ -103,13 +130,14 @@ def text_lines(page: str) -> tuple[list[tuple[str, bool]], bool]:
         if not tag:
             continue
         tag = tag.lower()
+        attrs = m["attrs"] or ""
         if tag in ("br", "hr"):
             held.append("\n")
             continue
-        if tag in _VOID or tag in _INLINE and (m["end"] or not _marked_boilerplate(tag, m["attrs"] or "", True)):
+        if tag in _VOID or tag in _INLINE and (m["end"] or _mark(tag, attrs, True) < _OUT):
             if not (m["end"] and any(t == tag for t, _, _ in stack)):
                 continue
-        if tag in ("td", "th", "dt", "dd", "option") and not _marked_boilerplate(tag, m["attrs"] or "", True):
+        if tag in ("td", "th", "dt", "dd", "option") and _mark(tag, attrs, True) < _OUT:
             held.append(" ")
             continue
         flush()
@@ -123,17 +151,30 @@ def text_lines(page: str) -> tuple[list[tuple[str, bool]], bool]:
             continue
         if stack and stack[-1][0] == "p" and tag not in _INLINE:
             stack.pop()  # a block ends an open paragraph
-        skip, text = state()
-        boilerplate = skip or _marked_boilerplate(tag, m["attrs"] or "", text)
+        above, text = state()
+        mark = max(above, _mark(tag, attrs, text))
+        if tag in _TEXT and not text and mark == _DOUBT:
+            mark = _CLEAR  # an id around the article says nothing of it
         text = text or tag in _TEXT
-        marked = marked or (tag in _TEXT and not boilerplate)
-        if tag == "p" and not boilerplate or (m["attrs"] or "").endswith("/"):
+        if tag == "p" and mark == above or attrs.endswith("/"):
             continue  # an unmarked paragraph changes nothing
-        stack.append((tag, boilerplate, text))
+        stack.append((tag, mark, text))
     if at < len(page):
         held.append(page[at:])
     flush()
-    return out, marked
+    # An article in a named element is the page's text if the page has no other.
+    own = any(text and mark < _NAMED for _, text, mark in out)
+    named = not own and any(text for _, text, _ in out)
+
+    def fate(text: bool, mark: int) -> int:
+        if own or named:
+            if not text or (own and mark == _NAMED):
+                return DROPPED
+            return UNDECIDED if mark == _DOUBT else TEXT
+        return DROPPED if mark == _NAMED else UNDECIDED
+
+    fates = [(line, fate(text, mark), mark) for line, text, mark in out]
+    return [(line, f) for line, f, mark in fates if f != DROPPED or mark < _NAMED]
 
 
 def _row(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -165,8 +206,9 @@ def common_lines(x: np.ndarray, y: np.ndarray, at: int = 0) -> list[int]:
     return ends[0] + middle + ends[1]
 
 
-_PARSED = ("page_id bigint, url string, host string, path string, marked boolean, lines array<string>, "
-           "hashes array<bigint>, sizes array<int>")
+_PARSED = ("page_id bigint, url string, host string, path string, marked boolean, "
+           "lines array<struct<line:string,place:int,open:boolean>>, hashes array<bigint>, sizes array<int>")
+_LINE = pa.struct([("line", pa.string()), ("place", pa.int32()), ("open", pa.bool_())])
 
 
 def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,14 +217,14 @@ def _parse_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     for batch in batches:
         lines, hashes, sizes, marks = [], [], [], []
         for i in range(len(batch)):
-            found, marked = text_lines(batch.column(4)[i].as_py() or "")
-            marks.append(marked)
-            lines.append([x for x, text in found if text or not marked])
+            found = text_lines(batch.column(4)[i].as_py() or "")
+            marks.append(all(f != UNDECIDED for _, f in found))  # nothing is left to the neighbours
+            lines.append([(x, n, f == UNDECIDED) for n, (x, f) in enumerate(found) if f != DROPPED])
             every = [x.encode() for x, _ in found]
             hashes.append([zlib.crc32(x) | (zlib.adler32(x) << 31) for x in every])
             sizes.append([len(x) for x, _ in found])
         yield pa.RecordBatch.from_arrays(
-            [*[batch.column(c) for c in range(4)], pa.array(marks), pa.array(lines, pa.list_(pa.string())),
+            [*[batch.column(c) for c in range(4)], pa.array(marks), pa.array(lines, pa.list_(_LINE)),
              pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32()))],
             names=["page_id", "url", "host", "path", "marked", "lines", "hashes", "sizes"])
 
@@ -233,7 +275,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
                          F.col(html_col).cast("string").alias("html"))
             .select("page_id", "url", host_of(url).alias("host"),
                     path_of(url).alias("path"), "html"))
-    parsed = saved(base.mapInArrow(_parse_batches, _PARSED).withColumn("digest", F.xxhash64("hashes")), "parsed")
+    parsed = saved(base.mapInArrow(_parse_batches, _PARSED).withColumn("digest", F.xxhash64("marked", "hashes")), "parsed")
     total = parsed.count()
     key = ["host", "path", "digest"]
     ordered = saved(parsed.groupBy(*key).agg(*[F.any_value(c).alias(c) for c in ("marked", "hashes", "sizes")])
@@ -247,11 +289,12 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
               .select(F.col("at.run").alias("run"), F.col("at.own").alias("own"), "number", *key, "marked", "hashes", "sizes"))
     shared = (placed.groupBy("run").applyInArrow(
         _align, "host string, path string, digest bigint, shared array<int>"))
-    decided = parsed.filter("marked").select("page_id", "url", "lines", F.lit(0).alias("n_shared"))
-    lines = F.when(F.col("shared").isNull(), F.col("lines")).otherwise(
-        F.filter("lines", lambda x, i: ~F.array_contains("shared", i)))
+    decided = parsed.filter("marked").select("page_id", "url", F.col("lines.line").alias("lines"), F.lit(0).alias("n_shared"))
+    kept = F.when(F.col("shared").isNull(), F.col("lines")).otherwise(
+        F.filter("lines", lambda x: ~(x["open"] & F.array_contains("shared", x["place"]))))
     open_ = (parsed.filter("not marked").join(shared, key, "left")
-             .select("page_id", "url", lines.alias("lines"), F.coalesce(F.size("shared"), F.lit(0)).alias("n_shared")))
+             .select("page_id", "url", F.size("lines").alias("n"), kept.alias("kept"))
+             .select("page_id", "url", F.col("kept.line").alias("lines"), (F.col("n") - F.size("kept")).alias("n_shared")))
     text = F.concat_ws("\n\n", "lines")
     return decided.unionByName(open_).select(
         F.col("page_id").alias(id_col), F.col("url").alias(url_col), text.alias("text"),
