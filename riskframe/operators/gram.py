@@ -38,8 +38,13 @@ def tile_side(columns: int, block: int = BLOCK) -> int:
 
 
 def _columns(batch: pa.RecordBatch, names: Sequence[str], complete: bool = False) -> np.ndarray:
-    """Rows of some columns, missing values as NaN; only the rows without any, if ``complete``."""
-    x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names])
+    """Rows of some columns (or of one column of equally long lists), missing
+    values as NaN; only the rows without any, if ``complete``."""
+    if pa.types.is_list(batch.schema.field(names[0]).type):
+        rows = batch.column(names[0]).drop_null()
+        x = rows.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), -1) if len(rows) else np.zeros((0, 1))
+    else:
+        x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names])
     x[~np.isfinite(x)] = np.nan
     return x[~np.isnan(x).any(axis=1)] if complete else x
 
@@ -70,7 +75,7 @@ def column_means(data: DataFrame, complete: bool = False) -> np.ndarray:
 
 def summed(data: DataFrame, of: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """``of`` added up over the complete rows of ``data`` (columns of
-    doubles): it takes some rows and returns ``size`` numbers. One pass; a
+    doubles, or one column of equally long lists of them): it takes some rows and returns ``size`` numbers. One pass; a
     task adds up its own rows, and ``size`` numbers reach the driver."""
     names = data.columns
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expressions import code_map, r6, sig
 from ..operators import features as FT
+from ..operators import principal as PC
 from ..operators import profile as PR
 from ..operators import sketches as SK
 from ..sources.tables import read_table
@@ -221,19 +222,26 @@ def f10_pca_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
 PCA_PAIR = ("l_quantity", "l_tax")
 
 
-def _pca_pair(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """F10 of two columns, which has a closed form."""
-    li = read_table(spark, sf_dir, "lineitem").select(
-        F.struct(*KEYS).alias("line"), F.array(*[F.col(c).cast("double") for c in PCA_PAIR]).alias("v"))
-    return FT.pca_projection(li, "v", k=2, key="line")
+def _pair_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two columns as vectors: their components have a closed form."""
+    li = read_table(spark, sf_dir, "lineitem")
+    return li.select(*KEYS, F.array(*[F.col(c).cast("double") for c in PCA_PAIR]).alias("v"))
 
 
 def f10_pair_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _r6(_pca_pair(spark, sf_dir)[0].select("line.*", "pc1", "pc2"), "pc1", "pc2")
+    pairs = _pair_vectors(spark, sf_dir)
+    return _r6(PC.project(pairs, "v", PC.fit_components(pairs, "v"), KEYS), "pc1", "pc2")
 
 
 def f10_pair_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _r6(_pca_pair(spark, sf_dir)[1], "explained", "cumulative")
+    pairs = _pair_vectors(spark, sf_dir)
+    return _r6(PC.variance_table(pairs, PC.fit_components(pairs, "v")), "explained", "cumulative")
+
+
+def f10_block_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F10 of the embeddings without their covariance on the driver."""
+    emb = read_table(spark, sf_dir, "embeddings")
+    return _r6(PC.variance_table(emb, PC.fit_components(emb, "embedding", k=5)), "explained", "cumulative")
 
 
 QUERIES = {
@@ -260,6 +268,7 @@ QUERIES = {
     "f8_lasso_certificate": f8_lasso_certificate,
     "f10_pca_projection": f10_pca_projection,
     "f10_pca_variance": f10_pca_variance,
+    "f10_block_variance": f10_block_variance,
     "f10_pair_projection": f10_pair_projection,
     "f10_pair_variance": f10_pair_variance,
 }

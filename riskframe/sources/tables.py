@@ -107,7 +107,8 @@ def read_csv_checked(spark: SparkSession, path: str, schema: StructType, null_va
         raise KeyError(f"{path} lacks the columns {missing}; it has {header}")
     texts = StructType([StructField(c, StringType()) for c in [*header, ROW]])
     raw = (spark.read.schema(texts).option("header", True).option("nullValue", null_value)
-           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", ROW).csv(path))
+           .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", ROW)
+           .option("columnPruning", False).csv(path))  # a line's width is judged whatever is selected of it
     values, problems = [], []
     for f in schema.fields:
         if f.name in header:

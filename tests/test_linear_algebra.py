@@ -161,3 +161,39 @@ def test_wide_correlation_on_empty_input_is_null(spark):
     empty = spark.createDataFrame([], "a double, b double, c double")
     rows = PR.correlation_pairs(empty, ["a", "b", "c"]).collect()
     assert len(rows) == 6 and all(r["r"] is None for r in rows)
+
+
+# --- components from products with the rows ------------------------------------------------
+
+@pytest.mark.parametrize("d, n, k", [(2, 50, 2), (5, 300, 3), (130, 200, 4)])
+def test_block_components_match_eigh(spark, monkeypatch, d, n, k):
+    from riskframe.operators import principal as PC
+    monkeypatch.setattr(PC, "MOST", 40)  # the widest case is cut back on its way
+    rng = np.random.default_rng(d)
+    x = rng.normal(size=(n, 3)) @ rng.normal(size=(3, d)) * 2 + rng.normal(size=(n, d)) + 100
+    if d > 2:
+        x[:, 1] = 7.0  # constant
+    rows = [(i, [float(v) for v in r]) for i, r in enumerate(x)]
+    bad = [(-1, None), (-2, [1.0] * (d - 1)), (-3, [float("nan")] * d), (-4, [float("inf")] * d), (-5, [None] * d)]
+    df = spark.createDataFrame(rows + bad, "id int, v array<double>").repartition(3)
+    fit = PC.fit_components(df, "v", k)
+    sd = x.std(axis=0, ddof=1)
+    z = (x - x.mean(axis=0)) / np.where(sd > 1e-9, sd, 1.0) * (sd > 1e-9)
+    value, vector = np.linalg.eigh(z.T @ z / (n - 1))
+    assert np.allclose(fit.explained, value[::-1][:k] / value.sum(), atol=1e-9)
+    for j in range(k):
+        assert abs(fit.vectors[:, j] @ vector[:, -1 - j]) == pytest.approx(1.0, abs=1e-6)
+        assert fit.vectors[np.abs(fit.vectors[:, j]).argmax(), j] > 0
+    got = {r["id"]: r["pc1"] for r in PC.project(df, "v", fit, ["id"]).collect()}
+    assert np.allclose([got[i] for i in range(n)], z @ fit.vectors[:, 0], atol=1e-8)
+    assert all(got[i] is None for i in range(-5, 0))
+
+
+def test_block_components_of_nothing(spark):
+    from riskframe.operators import principal as PC
+    empty = spark.createDataFrame([], "v array<double>")
+    assert PC.fit_components(empty, "v").explained.size == 0
+    one = spark.createDataFrame([([1.0, 2.0],)], "v array<double>")
+    assert (PC.fit_components(one, "v").explained == 0).all()
+    same = spark.createDataFrame([([1.0, 2.0],)] * 5, "v array<double>")
+    assert (PC.fit_components(same, "v").explained == 0).all()
