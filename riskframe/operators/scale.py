@@ -107,8 +107,8 @@ def standardise(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS,
 def standardise_lazily(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS,
                        fit_on: DataFrame | None = None) -> DataFrame:
     """P6 / T4 as one plan without an eager fit: the statistics of ``fit_on``
-    (default: the table) are a one-row table that every row is joined with.
-    The values are those of ``standardise``; nothing runs before an action."""
+    (default: the table) are a scalar subquery (one struct, from a single
+    aggregate). The values are those of ``standardise``; nothing runs before an action."""
     cols = list(columns)
     check_columns(df, cols)
     source = fit_on if fit_on is not None else df
@@ -117,4 +117,4 @@ def standardise_lazily(df: DataFrame, columns: Sequence[str] = NUMERIC_COLUMNS,
     one = stats.select(F.struct(*[F.col(f"{a}{i}") for i in range(len(cols)) for a in "ms"]).alias("_stats"))
     scaled = {c: (present(col(c)) - F.col(f"_stats.m{i}"))
               / F.when(F.col(f"_stats.s{i}") > 0, F.col(f"_stats.s{i}")).otherwise(F.lit(1.0)) for i, c in enumerate(cols)}
-    return df.crossJoin(F.broadcast(one)).withColumns(scaled).drop("_stats")  # one row: a single aggregate's
+    return df.withColumn("_stats", one.scalar()).withColumns(scaled).drop("_stats")
