@@ -167,8 +167,10 @@ def leaked_items(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Null or empty texts and items match nothing, nor do rows without id or
     item id. Rows that repeat a document or an item give their pair once,
-    with the best similarity. An empty benchmark gives no pairs. Other
-    columns are not looked at.
+    with the best similarity; of equally similar windows the nearest in
+    fingerprint, then the first, counts. Every window of a very long text is
+    looked at. An empty table or benchmark gives no pairs. Other columns are
+    not looked at.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col(item_col).cast("bigint").alias("item"), F.lower(item_text_col).alias("text"),

@@ -268,7 +268,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
     The text is the main text's lines joined by an empty line; empty for
     null, empty or textless HTML. A null url has the empty host and path.
-    Rows that repeat are all returned, and equal rows get equal texts. Other columns are not looked at.
+    Very long pages are read whole. Rows that repeat are all returned, and
+    equal rows get equal texts; an empty table gives no rows. Other columns are not looked at.
     """
     url = F.col("url")
     base = (small_batches(pages).select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).cast("string").alias("url"),

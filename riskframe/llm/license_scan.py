@@ -151,7 +151,9 @@ def scan(files: DataFrame, id_col: str = "doc_id", text_col: str = "text", path:
     a licence file, inherit nothing. Null and empty texts have no header. Of
     several headers the most similar counts, then the first; of several
     licence files in a directory the licence most of them name, then the
-    first by name. Rows that repeat are all returned.
+    first by name. Very long texts are read whole, line by line. Rows that
+    repeat are all returned; an empty table gives no rows. Other columns are
+    not looked at.
     """
     spark = files.sparkSession
     t = Templates(templates)

@@ -468,7 +468,9 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     texts have no passages. Repeats are searched between rows of different
     ids: rows without id, and repeats inside one document or between rows of
     one id, are left alone. ``version`` (a hash of the text) tells apart
-    different texts under one id. Other columns are not looked at.
+    different texts under one id. Very long texts are searched whole; of
+    documents that hold the same words the smallest id keeps them; an empty
+    table gives no rows. Other columns are not looked at.
     """
     base = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"),
                        F.xxhash64(text_col).alias("version")).filter("id is not null")

@@ -107,7 +107,8 @@ def judged(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     character) reaches the threshold. Without rule-decided URLs of both
     kinds the threshold is 0. A null or empty url, or one without ``://``,
     has an empty host and path, no rule and the score of what text it has.
-    Rows that repeat are all returned. Other columns are not looked at.
+    Long urls are read whole. Rows that repeat are all returned with the same
+    result; an empty table gives no rows. Other columns are not looked at.
     """
     base = pages.select(F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"))
     parts = base.select("id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
