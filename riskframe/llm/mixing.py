@@ -82,9 +82,9 @@ def with_draws(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Sources sort by code point, null last, and take the weights in turn. A
     null text has size 0; rows of size 0 are drawn like their block, and
     sources without words have target 0. Rows equal in id and text are drawn
-    alike; ties of their hashes are broken by neither, so they go together.
-    Very long texts are counted whole; an empty table gives no rows. Returns also the names of the new columns, which avoid those of
-    ``docs``.
+    alike, and so are rows whose hashes tie. Very long texts are counted
+    whole; an empty table gives no rows. Returns also the names of the new
+    columns, which avoid those of ``docs``.
     """
     spark = docs.sparkSession
     name = {k: free_name(f"mix_{k}", docs.columns) for k in ("size", "source_size", "target", "draws", "hash", "key")}

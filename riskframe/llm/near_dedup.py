@@ -202,7 +202,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     words) have no shingles and no links. A row without id takes no part:
     component_id null, kept true. Rows that repeat an id are one node with
     the links of all its texts; each keeps its own n_shingles. Very long
-    texts are taken whole; an empty table gives no rows. Other columns of ``docs`` are not looked at, whatever their names.
+    texts are taken whole; an empty table gives no rows. Other columns of
+    ``docs`` are not looked at, whatever their names.
     """
     base = small_batches(docs).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     sk = saved(base.mapInArrow(_sketch_batches, _SKETCHES), "sketches")
