@@ -15,8 +15,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, MultilayerPerceptronClassifier,
-                                       RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +25,17 @@ from ..functions.constants import FEATURES_VEC
 from ..functions.expressions import col, present
 from ..sources.tables import path_exists
 from .newton import NewtonLogisticRegression
+from .perceptron import PerceptronClassifier
 from .scale import PopulationStandardScaler
 from .split import with_weights
 
-# bytes of assembled training data per partition: every estimator pass runs
-# one task per partition, so tiny sets get one partition and large ones many
+# Every estimator pass runs one task per partition. Passes are bound by
+# computation (a row of 100 bytes costs a network step 20 to 100 us), so sets
+# of some thousand rows are already dealt out, to ``SPREAD`` tasks; larger
+# sets get more tasks when each would hold more than a task's share in bytes.
 TRAIN_PARTITION_BYTES = 4 << 20
+SPREAD_BYTES = 128 << 10
+SPREAD = 16
 LABEL = "label"
 WEIGHT = "weight"
 # registered models fitted at the same time (as CrossValidator's parallelism)
@@ -77,9 +81,9 @@ def _estimator(key: str, cols: Sequence[str], seed: int, max_iter_scale: float =
         return GBTClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL, maxIter=it(100),
                              maxDepth=5, stepSize=0.03, seed=seed)
     if key == "mlp":
-        return MultilayerPerceptronClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL,
-                                              layers=[len(cols), 256, 128, 64, 2],
-                                              maxIter=it(1000), seed=seed)
+        return PerceptronClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL,
+                                    layers=[len(cols), 256, 128, 64, 2],
+                                    maxIter=it(1000), seed=seed)
     raise KeyError(f"unknown model {key!r}; known: {list(REGISTRY)}")
 
 
@@ -97,6 +101,11 @@ def build_pipeline(key: str, features: Sequence[str], seed: int = 42,
     return Pipeline(stages=stages)
 
 
+def training_partitions(size: int) -> int:
+    """Partitions of ``size`` bytes of training rows; by the size only, so that fits are the same on any cluster."""
+    return max(1, min(SPREAD, -(-size // SPREAD_BYTES)), -(-size // TRAIN_PARTITION_BYTES))
+
+
 def prepare_training(train: DataFrame, features: Sequence[str], label_col: str,
                      key_col: str | None = None) -> DataFrame:
     """T3 + T10: label as double, balanced weights, partitioned by size and
@@ -116,7 +125,7 @@ def prepare_training(train: DataFrame, features: Sequence[str], label_col: str,
         raise ValueError(f"features with missing values, impute or drop them first: {missing}")
     data, _, rows = with_weights(data, LABEL, WEIGHT, with_rows=True)
     width = 8 * (len(features) + 2)
-    target = max(1, -(-rows * width // TRAIN_PARTITION_BYTES))
+    target = training_partitions(rows * width)
     by = [F.col("_key")] if key_col else [col(c) for c in features]
     data = data.repartition(target, *by).sortWithinPartitions(*by)
     return data.drop("_key").persist(StorageLevel.MEMORY_AND_DISK)
