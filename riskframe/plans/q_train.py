@@ -80,19 +80,20 @@ def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = labels.join(docs, "doc_id")
     text = F.coalesce(F.col("text"), F.lit(""))
-    length = F.greatest(F.length(text), F.lit(1)).cast("double")
-    words = F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 0)
-    n_words = F.size(words)
+    # the words are a column of their own: written out in three features they would be split three times
+    j = j.withColumn("text", text).withColumn("words", F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 0))
+    length = F.greatest(F.length("text"), F.lit(1)).cast("double")
+    n_words = F.size("words")
     feats = {
         "log_chars": F.log1p(F.col("n_chars").cast("double")),
         "n_words": n_words.cast("double"),
-        "n_lines": F.size(F.split(text, "\n")).cast("double"),
+        "n_lines": F.size(F.split("text", "\n")).cast("double"),
         "mean_word_len": length / F.greatest(n_words, F.lit(1)),
-        "unique_ratio": F.size(F.array_distinct(F.transform(words, F.lower)))
+        "unique_ratio": F.size(F.array_distinct(F.transform("words", F.lower)))
         / F.greatest(n_words, F.lit(1)),
-        "digit_ratio": F.length(F.regexp_replace(text, "[^0-9]", "")) / length,
-        "upper_ratio": F.length(F.regexp_replace(text, "[^A-Z]", "")) / length,
-        "punct_ratio": F.length(F.regexp_replace(text, r"[^\p{Punct}]", "")) / length,
+        "digit_ratio": F.regexp_count("text", F.lit("[0-9]")) / length,
+        "upper_ratio": F.regexp_count("text", F.lit("[A-Z]")) / length,
+        "punct_ratio": F.regexp_count("text", F.lit(r"\p{Punct}")) / length,
         **{f"is_{lang}": (F.col("lang") == lang).cast("double") for lang in LANGS},
     }
     return j.select("doc_id", "quality", *[e.alias(n) for n, e in feats.items()])
