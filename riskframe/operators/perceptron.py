@@ -31,7 +31,8 @@ BLOCK_ROWS = 256    # rows multiplied at once: their activations stay in a core'
 HISTORY = 10        # pairs of steps and gradient changes kept
 MEMORY = 20         # losses that must lie within the tolerance of each other
 TRIES = 20          # passes of one line search
-FLAT_TASKS = 32     # up to so many tasks their sums go straight to the driver
+PASS_TASKS = 32     # tasks of a pass, or the cluster's cores if those are more
+FLAT_TASKS = 256    # up to so many tasks their sums go straight to the driver
 
 
 def _split(weights: np.ndarray, layers: Sequence[int]) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -165,9 +166,11 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
                 max_iter: int = 1000, tol: float = 1e-6) -> tuple[np.ndarray, list[float]]:
     """Weights that minimise the mean cross-entropy of ``data``'s rows, from ``start``, and the losses on the way.
 
-    Labels are whole numbers from 0 below the last layer's width. Every
-    partition is one task of every pass; its rows are held as blocks of
-    numbers, on disk where memory is short."""
+    Labels are whole numbers from 0 below the last layer's width. The rows
+    are held as blocks of numbers, on disk where memory is short. A pass has
+    no more tasks than can run at once, each over one or more of the held
+    partitions: every task leaves a vector of the weights' size, and a shuffle
+    of those in every pass would fill the disks."""
     layers = list(layers)
     rows = data.select(col(label_col).cast("double").alias("y"), vector_to_array(col(features_col)).alias("x"))
 
@@ -191,7 +194,9 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
         n = held.map(lambda b: len(b[0])).sum()
         if not n:
             raise ValueError("no rows to fit on")
-        deep = held.getNumPartitions() > FLAT_TASKS
+        tasks = max(PASS_TASKS, held.context.defaultParallelism)
+        dealt = held.coalesce(tasks) if held.getNumPartitions() > tasks else held
+        deep = dealt.getNumPartitions() > FLAT_TASKS
 
         def of(weights: np.ndarray) -> tuple[float, np.ndarray]:
             def task(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
@@ -202,7 +207,7 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
                     total[1:] += gradient
                 yield total
 
-            summed = held.mapPartitions(task)
+            summed = dealt.mapPartitions(task)
             total = (summed.treeReduce(np.add) if deep else sum(summed.collect())) / n
             return float(total[0]), total[1:]
 

@@ -60,6 +60,18 @@ def test_stage_gives_sparks_model_with_our_probabilities(spark, table, tmp_path)
         P.fit_weights(table.withColumn("label", F.lit(2.0)), "features", "label", LAYERS, w)
 
 
+def test_sums_of_many_partitions_are_not_shuffled(spark, table, monkeypatch):
+    start = P._model(spark, LAYERS, seed=1).weights.toArray()
+    few = P.fit_weights(table, "features", "label", LAYERS, start, 3)[0]
+
+    def shuffled(*_):
+        raise AssertionError("a shuffle in every pass")
+
+    monkeypatch.setattr("pyspark.RDD.treeReduce", shuffled)
+    many = P.fit_weights(table.repartition(70), "features", "label", LAYERS, start, 3)[0]
+    assert np.allclose(few, many, rtol=1e-6, atol=1e-9)
+
+
 def test_some_thousand_rows_are_dealt_out(spark):
     """One task for 4 MB of rows left a network's or a booster's passes to one core."""
     rows = spark.range(20_000).select("id", (F.col("id") % 2).alias("y"), *[(F.col("id") % (i + 2)).cast("double").alias(f"x{i}") for i in range(12)])
