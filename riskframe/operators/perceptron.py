@@ -2,8 +2,9 @@
 
 The network, its initial weights, its loss (mean cross-entropy) and the rule
 that ends the fit are those of Spark ML's ``MultilayerPerceptronClassifier``,
-and the fitted stage is Spark ML's own model. Only the passes differ: each
-task multiplies blocks of its cached rows with numpy, where the JVM's plain
+and the fitted stage is Spark ML's own model; but the mean is over rows, not
+over blocks of rows, and the line search is our own, so weights differ. Each
+pass's tasks multiply blocks of their cached rows with numpy, where the JVM's plain
 loops take about five times as long. A pass sends the weights out and
 brings one sum a task back; the driver holds a few vectors of the weights'
 size, whatever the number of rows.
