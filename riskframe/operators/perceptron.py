@@ -45,14 +45,26 @@ def _split(weights: np.ndarray, layers: Sequence[int]) -> list[tuple[np.ndarray,
     return out
 
 
-def loss_and_gradient(weights: np.ndarray, layers: Sequence[int], x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Summed cross-entropy of the rows and its gradient: sigmoid hidden layers, softmax at the end."""
+def loss_and_gradient(weights: np.ndarray, layers: Sequence[int], x: np.ndarray, y: np.ndarray,
+                      held: dict | None = None) -> tuple[float, np.ndarray]:
+    """Summed cross-entropy of the rows and its gradient: sigmoid hidden layers, softmax at the end.
+
+    ``held`` keeps the arrays between calls, the returned gradient too: new
+    ones of some 100 KB cost more than what is computed in them."""
+    held = {} if held is None else held
+
+    def array(name: str, i: int, *shape: int) -> np.ndarray:
+        a = held.get((name, i))
+        if a is None or a.shape != shape:
+            a = held[name, i] = np.empty(shape)
+        return a
+
     parts = _split(weights, layers)
     seen = [x]
-    for w, b in parts[:-1]:
-        z = seen[-1] @ w
+    for i, (w, b) in enumerate(parts[:-1]):
+        z = np.matmul(seen[-1], w, out=array("z", i, len(x), len(b)))
         z += b
-        np.clip(z, -700, 700, out=z)
+        np.maximum(z, -700.0, out=z)
         np.negative(z, out=z)
         np.exp(z, out=z)
         z += 1.0
@@ -66,14 +78,16 @@ def loss_and_gradient(weights: np.ndarray, layers: Sequence[int], x: np.ndarray,
     loss = float((np.log(total) - z[at, y]).sum())
     delta = e / total[:, None]
     delta[at, y] -= 1.0
-    gradient = np.empty_like(weights)
-    for (gw, gb), (w, _), a in zip(reversed(_split(gradient, layers)), reversed(parts), reversed(seen)):
+    gradient = array("g", 0, len(weights))
+    back = list(zip(_split(gradient, layers), parts, seen))
+    for i in reversed(range(len(back))):
+        (gw, gb), (w, _), a = back[i]
         np.matmul(a.T, delta, out=gw)
         delta.sum(axis=0, out=gb)
         if a is not x:
-            delta = delta @ w.T
+            delta = np.matmul(delta, w.T, out=array("d", i, *a.shape))
             delta *= a
-            delta *= 1.0 - a
+            delta *= np.subtract(1.0, a, out=a)  # a is not needed any more
     return loss, gradient
 
 
@@ -201,9 +215,9 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
 
         def of(weights: np.ndarray) -> tuple[float, np.ndarray]:
             def task(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[np.ndarray]:
-                total = np.zeros(len(weights) + 1)
+                total, arrays = np.zeros(len(weights) + 1), {}
                 for y, x in parts:
-                    loss, gradient = loss_and_gradient(weights, layers, x, y)
+                    loss, gradient = loss_and_gradient(weights, layers, x, y, arrays)
                     total[0] += loss
                     total[1:] += gradient
                 yield total

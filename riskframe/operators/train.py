@@ -23,6 +23,7 @@ from pyspark.util import inheritable_thread_target
 
 from ..functions.constants import FEATURES_VEC
 from ..functions.expressions import col, present
+from ..session import ensure_checkpoint_dir
 from ..sources.tables import path_exists
 from .newton import NewtonLogisticRegression
 from .perceptron import PerceptronClassifier
@@ -109,7 +110,9 @@ def training_partitions(size: int) -> int:
 def prepare_training(train: DataFrame, features: Sequence[str], label_col: str,
                      key_col: str | None = None) -> DataFrame:
     """T3 + T10: label as double, balanced weights, partitioned by size and
-    cached once for all models (every estimator iterates over it).
+    cached once for all models (every estimator iterates over it). The rows
+    are checkpointed first: every task of a fit's thousands of small jobs is
+    sent its rows' whole lineage, cached or not, and reads it before it starts.
 
     Missing features (null or NaN) are refused with their counts per column;
     rows without label are left out. The hash layout depends on the rows
@@ -128,7 +131,8 @@ def prepare_training(train: DataFrame, features: Sequence[str], label_col: str,
     target = training_partitions(rows * width)
     by = [F.col("_key")] if key_col else [col(c) for c in features]
     data = data.repartition(target, *by).sortWithinPartitions(*by)
-    return data.drop("_key").persist(StorageLevel.MEMORY_AND_DISK)
+    ensure_checkpoint_dir(data.sparkSession)
+    return data.drop("_key").checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def train_models(train: DataFrame, features: Sequence[str], label_col: str,

@@ -81,3 +81,28 @@ def test_some_thousand_rows_are_dealt_out(spark):
     finally:
         data.unpersist()
     assert [T.training_partitions(n) for n in (0, 1, 1 << 20, 4 << 20, 1 << 30)] == [1, 1, 8, 16, 256]
+
+
+def test_training_rows_carry_no_lineage(spark):
+    """Every task of a fit read the plans of the split, the weights and the shuffle first."""
+    rows = spark.range(500).select("id", (F.col("id") % 2).alias("y"), (F.col("id") % 7).cast("double").alias("x"))
+    data = T.prepare_training(rows, ["x"], "y", "id")
+    try:
+        lineage = data.rdd._jrdd.rdd().toDebugString()
+        assert "ReliableCheckpointRDD" in lineage and "ShuffledRowRDD" not in lineage
+        assert data.count() == 500
+    finally:
+        data.unpersist()
+
+
+def test_kept_arrays_give_the_same_gradient():
+    x, y = _rows(40)
+    x[0] = 1e4  # far out on the sigmoid
+    w = np.random.default_rng(1).normal(size=sum(a * b + b for a, b in zip(LAYERS, LAYERS[1:])))
+    held = {}
+    for rows in (40, 13, 40):
+        loss, g = P.loss_and_gradient(w, LAYERS, x[:rows], y[:rows], held)
+        fresh = P.loss_and_gradient(w, LAYERS, x[:rows], y[:rows])
+        assert loss == fresh[0] and np.array_equal(g, fresh[1])
+    again = P.loss_and_gradient(w, LAYERS, x, y, held)[1]
+    assert again is g
