@@ -20,8 +20,8 @@ estimated (Chao1: n1 (n1 - 1) / 2 (n2 + 1) in all, shared by the classes'
 known words; n1 and n2 count the words seen once and twice).
 
 Words are counted in Arrow batches, merged per task before the shuffle. In
-scoring, the ``HEAD`` most frequent words are looked up in a table sent to
-the tasks (24 bytes a word); only the others are joined with the classes.
+scoring, up to ``HEAD`` of the most frequent words are looked up in a table sent
+to the tasks (24 bytes a word); only the others are joined with the classes.
 """
 
 from __future__ import annotations
@@ -258,6 +258,19 @@ class Model:
         return np.log10(np.maximum(mass, 1e-9) / np.maximum(self.missing * share, 1))
 
 
+def _most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows of the largest ``n``, up to ``most`` of them: all from a bound upwards, which is
+    read off at most 4,100 counts, so that no rows are sorted together in one task."""
+    step = F.floor(F.log2("n") * 64)
+    bound, total = None, 0
+    for r in counts.groupBy(step.alias("step")).agg(F.count("*").alias("rows")).orderBy(F.desc("step")).collect():
+        total += r["rows"]
+        if total > most:
+            break
+        bound = r["step"]
+    return counts.filter(step >= bound if bound is not None else F.lit(False))
+
+
 def train(texts: DataFrame) -> Model:
     """Counts and classes from the ``text`` column of all rows (null = empty)."""
     spark = texts.sparkSession
@@ -308,7 +321,7 @@ def train(texts: DataFrame) -> Model:
     for r in classes.groupBy("class").agg(F.sum("n").alias("n"), F.count("*").alias("words")).collect():  # a row a class
         size[r["class"]], known[r["class"]] = r["n"], r["words"]
     size[CLASSES - 1] = n_docs
-    head = classes.orderBy(F.desc("n"), "word").limit(HEAD).toArrow()
+    head = _most_frequent(classes, HEAD).toArrow()
     hashes = head.column("word").to_numpy().view(U64)
     order = np.argsort(hashes)
     return Model(classes, int(tokens) + n_docs, int(distinct) + (1 if n_docs else 0), own[WORDS:_END], size, known,

@@ -119,3 +119,13 @@ def test_contexts_count_every_occurrence(monkeypatch):
                 if x != "a":
                     want[int(np.array(key[x], np.uint64).view(np.int64)), (c[i], c[i + 2])] += 1
         assert {k: n for k, n in got.items() if n} == dict(want)
+
+
+def test_most_frequent_words_need_no_sort_in_one_task(spark):
+    counts = spark.createDataFrame([(i, n) for i, n in enumerate([1] * 50 + [2] * 20 + [3, 700, 9, 9, 10**12])], "word bigint, n bigint")
+    take = lambda most: sorted(r["n"] for r in class_lm._most_frequent(counts, most).collect())
+    assert [take(m) for m in (0, 1, 3, 4, 5, 24)] == [[], [10**12], [700, 10**12], [9, 9, 700, 10**12],
+                                                      [3, 9, 9, 700, 10**12], [3, 9, 9, 700, 10**12]]
+    assert len(take(25)) == 25 and len(take(74)) == 25 and len(take(75)) == 75
+    plan = class_lm._most_frequent(counts, 25)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrdered" not in plan and "SinglePartition" not in plan
