@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +25,7 @@ from ..functions.constants import FEATURES_VEC
 from ..functions.expressions import col, present
 from ..session import ensure_checkpoint_dir
 from ..sources.tables import path_exists
+from .boosting import BoostedTreesClassifier
 from .newton import NewtonLogisticRegression
 from .perceptron import PerceptronClassifier
 from .scale import PopulationStandardScaler
@@ -76,11 +77,11 @@ def _estimator(key: str, cols: Sequence[str], seed: int, max_iter_scale: float =
                                       numTrees=it(150), maxDepth=10, seed=seed,
                                       cacheNodeIds=True, checkpointInterval=10)
     if key == "boosted_deep":
-        return GBTClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL, maxIter=it(150),
-                             maxDepth=8, stepSize=0.05, seed=seed)
+        return BoostedTreesClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL, maxIter=it(150),
+                                      maxDepth=8, stepSize=0.05, seed=seed)
     if key == "boosted_shallow":
-        return GBTClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL, maxIter=it(100),
-                             maxDepth=5, stepSize=0.03, seed=seed)
+        return BoostedTreesClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL, maxIter=it(100),
+                                      maxDepth=5, stepSize=0.03, seed=seed)
     if key == "mlp":
         return PerceptronClassifier(featuresCol=FEATURES_VEC, labelCol=LABEL,
                                     layers=[len(cols), 256, 128, 64, 2],

@@ -103,10 +103,11 @@ def _split_docs(spark, sf_dir):
     """The labelled feature table is small (one row per label) but costly
     (regex passes over whole texts) and read by the split, the training and
     the scoring: computed once and cut from its lineage with a reliable
-    checkpoint in the shared folder."""
+    checkpoint in the shared folder, and so is its split, which reads them
+    three times."""
     ensure_checkpoint_dir(spark)
     feats = document_features(spark, sf_dir).checkpoint(eager=True)
-    return stratified_split(feats, "doc_id", "quality", SPLIT_SEED)
+    return stratified_split(feats, "doc_id", "quality", SPLIT_SEED).checkpoint(eager=True)
 
 
 def _scored(key: str):
@@ -150,6 +151,7 @@ def t10_evaluate_trained(spark: SparkSession, sf_dir: str) -> DataFrame:
         out = m.transform(scored)
         scored = out.select(*keep, positive_probability(out).alias(f"p_{key}"))
         keep = scored.columns
+    scored = scored.select("quality", *[f"p_{key}" for key in models]).checkpoint()  # the figures below read it several times
     long = M.long_scores(scored, {k: F.col(f"p_{k}") for k in models}, F.col("quality"))
     return M.comparison_table(long, list(REGISTRY))
 

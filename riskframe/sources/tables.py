@@ -186,6 +186,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete what a step wrote for itself, through the Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hpath, True)
+
+
 def first_existing(spark: SparkSession, paths: Iterable[str]) -> str:
     """K6: first path that exists, else an error naming all of them."""
     tried = list(paths)
