@@ -27,6 +27,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.expressions import col
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import remove_path
+from .passes import settle_worker
 
 BLOCK_ROWS = 256    # rows multiplied at once: their activations stay in a core's cache
 HISTORY = 10        # pairs of steps and gradient changes kept
@@ -182,7 +185,8 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
     """Weights that minimise the mean cross-entropy of ``data``'s rows, from ``start``, and the losses on the way.
 
     Labels are whole numbers from 0 below the last layer's width. The rows
-    are held as blocks of numbers, on disk where memory is short. A pass has
+    are held as blocks of numbers, on disk where memory is short, and cut from
+    their lineage, which every task of every pass would read. A pass has
     no more tasks than can run at once, each over one or more of the held
     partitions: every task leaves a vector of the weights' size, and a shuffle
     of those in every pass would fill the disks."""
@@ -204,7 +208,9 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
             both = np.frombuffer(r.block).reshape(-1, layers[0] + 1)
             yield both[:, 0].astype(np.int64), np.ascontiguousarray(both[:, 1:])
 
+    ensure_checkpoint_dir(data.sparkSession)
     held = rows.mapInArrow(blocks, "block binary").rdd.mapPartitions(unpacked).persist(StorageLevel.MEMORY_AND_DISK)
+    held.checkpoint()
     try:
         n = held.map(lambda b: len(b[0])).sum()
         if not n:
@@ -220,6 +226,7 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
                     loss, gradient = loss_and_gradient(weights, layers, x, y, arrays)
                     total[0] += loss
                     total[1:] += gradient
+                settle_worker()
                 yield total
 
             summed = dealt.mapPartitions(task)
@@ -229,6 +236,8 @@ def fit_weights(data: DataFrame, features_col: str, label_col: str, layers: Sequ
         return minimise(of, start, max_iter, tol)
     finally:
         held.unpersist()
+        if path := held.getCheckpointFile():
+            remove_path(data.sparkSession, path)
 
 
 class PerceptronClassifier(Estimator, HasFeaturesCol, HasLabelCol, HasMaxIter, HasTol, HasSeed,

@@ -80,20 +80,23 @@ def document_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = read_table(spark, sf_dir, "labels").select("doc_id", "quality")
     j = labels.join(docs, "doc_id")
     text = F.coalesce(F.col("text"), F.lit(""))
-    # the words are a column of their own: written out in three features they would be split three times
-    j = j.withColumn("text", text).withColumn("words", F.filter(F.split(text, r"\s+"), lambda w: F.length(w) > 0))
+    # The words are a column of their own: written out in three features they would be split three times.
+    # They are words of the lower-cased text, which has the same white space, digits and punctuation: one
+    # call for a text instead of one for a word. Only the first and the last piece of a split can be empty.
+    j = j.withColumn("text", text).withColumn("text_lower", F.lower("text")).withColumn("words", F.split("text_lower", r"\s+"))
     length = F.greatest(F.length("text"), F.lit(1)).cast("double")
-    n_words = F.size("words")
+    empty = lambda i: (F.element_at("words", i) == "").cast("int")
+    n_words = F.size("words") - empty(1) - F.when(F.size("words") > 1, empty(-1)).otherwise(0)
+    n_distinct = F.size(F.array_distinct("words")) - F.greatest(empty(1), empty(-1))
     feats = {
         "log_chars": F.log1p(F.col("n_chars").cast("double")),
         "n_words": n_words.cast("double"),
         "n_lines": F.size(F.split("text", "\n")).cast("double"),
         "mean_word_len": length / F.greatest(n_words, F.lit(1)),
-        "unique_ratio": F.size(F.array_distinct(F.transform("words", F.lower)))
-        / F.greatest(n_words, F.lit(1)),
-        "digit_ratio": F.regexp_count("text", F.lit("[0-9]")) / length,
+        "unique_ratio": n_distinct / F.greatest(n_words, F.lit(1)),
+        "digit_ratio": F.regexp_count("text_lower", F.lit("[0-9]")) / length,
         "upper_ratio": F.regexp_count("text", F.lit("[A-Z]")) / length,
-        "punct_ratio": F.regexp_count("text", F.lit(r"\p{Punct}")) / length,
+        "punct_ratio": F.regexp_count("text_lower", F.lit(r"\p{Punct}")) / length,
         **{f"is_{lang}": (F.col("lang") == lang).cast("double") for lang in LANGS},
     }
     return j.select("doc_id", "quality", *[e.alias(n) for n, e in feats.items()])

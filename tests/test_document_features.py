@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from riskframe.plans import q_train as Q
 
 
@@ -18,3 +20,18 @@ def test_shares_of_character_kinds(spark, monkeypatch):
         assert r.digit_ratio == sum(c in "0123456789" for c in t) / n
         assert r.upper_ratio == sum("A" <= c <= "Z" for c in t) / n
         assert r.punct_ratio == sum(c in punct for c in t) / n
+
+
+def test_words_of_the_lower_cased_text(spark, monkeypatch):
+    """Word counts as by splitting the text itself and lower-casing word by word, which took a third of the features' time."""
+    texts = ["", None, " ", "\n\t a", "a ", " Aa aA\x0baa\x0cB\r\nb ", "ΟΔΟΣ οδοσ ΟΔΟΣ. Σ", "İi i̇I", "a b a B \u0085", "ẞ ß SS", "K k \U00010400 \U00010428"]
+    docs = spark.createDataFrame([(i, t, "en", 1) for i, t in enumerate(texts)], "doc_id long, text string, lang string, n_chars int")
+    labels = spark.createDataFrame([(i, 1) for i in range(len(texts))], "doc_id long, quality int")
+    monkeypatch.setattr(Q, "read_table", lambda s, d, name: {"documents": docs, "labels": labels}[name])
+    found = Q.document_features(spark, "")
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"\s+"), lambda w: F.length(w) > 0)
+    n = F.size(words)
+    wanted = docs.select("doc_id", n.cast("double").alias("n"), (F.size(F.array_distinct(F.transform(words, F.lower))) / F.greatest(n, F.lit(1))).alias("u"))
+    assert {(r.doc_id, r.n_words, r.unique_ratio) for r in found.collect()} == {(r.doc_id, r.n, r.u) for r in wanted.collect()}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan  # a call for every word

@@ -1,3 +1,6 @@
+import os
+from urllib.parse import urlparse
+
 import numpy as np
 import pytest
 from pyspark.ml.classification import MultilayerPerceptronClassifier
@@ -106,3 +109,19 @@ def test_kept_arrays_give_the_same_gradient():
         assert loss == fresh[0] and np.array_equal(g, fresh[1])
     again = P.loss_and_gradient(w, LAYERS, x, y, held)[1]
     assert again is g
+
+
+def test_passes_read_no_lineage_and_leave_no_files(spark, table, monkeypatch):
+    """Every task of every pass was sent the plans of the training rows."""
+    seen = []
+    minimise = P.minimise
+
+    def watched(of, start, *more):
+        seen.append(len(os.listdir(root)))
+        return minimise(of, start, *more)
+
+    root = urlparse(spark.sparkContext.getCheckpointDir()).path
+    before = len(os.listdir(root))
+    monkeypatch.setattr(P, "minimise", watched)
+    P.fit_weights(table, "features", "label", LAYERS, P._model(spark, LAYERS, seed=1).weights.toArray(), 1)
+    assert seen == [before + 1] and len(os.listdir(root)) == before
